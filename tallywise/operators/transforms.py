@@ -217,28 +217,27 @@ def centred_vectors(df: DataFrame, columns: list[str], out: str = "_vec") -> Dat
 
 def fit_pca(df: DataFrame, columns: list[str], n_components: int | None = None,
             variance_threshold: float = 0.95):
-    """A PCA model on centred vectors, with k chosen by explained variance when not given."""
+    """A PCA model, the centred vectors and the number of components to keep.
+
+    One fit yields all components; explained variance tells how many of them are wanted.
+    """
     centred = centred_vectors(df, columns)
-    k = n_components or len(columns)
-    model = PCA(k=k, inputCol="_vec", outputCol="_pc").fit(centred)
-    if n_components is None:
-        total, k = 0.0, 0
-        for ratio in model.explainedVariance:
-            k += 1
-            total += ratio
-            if total >= variance_threshold:
-                break
-        model = PCA(k=k, inputCol="_vec", outputCol="_pc").fit(centred)
-    return model, centred
+    model = PCA(k=n_components or len(columns), inputCol="_vec", outputCol="_pc").fit(centred)
+    kept, total = 0, 0.0
+    for ratio in model.explainedVariance:
+        kept, total = kept + 1, total + ratio
+        if n_components is None and total >= variance_threshold:
+            break
+    return model, centred, kept
 
 
 def pca_reduce(df: DataFrame, columns: list[str], n_components: int | None = None,
                variance_threshold: float = 0.95, keys: tuple = ("user_id",)) -> DataFrame:
     """Keys and PC1..PCk."""
-    model, centred = fit_pca(df, columns, n_components, variance_threshold)
+    model, centred, kept = fit_pca(df, columns, n_components, variance_threshold)
     scores = model.transform(centred).withColumn("_a", vector_to_array("_pc"))
     return scores.select(*keys, *[F.col("_a").getItem(i).alias(f"PC{i + 1}")
-                                  for i in range(model.getK())])
+                                  for i in range(kept)])
 
 
 # -- derived features -------------------------------------------------------------------------
