@@ -110,8 +110,9 @@ def _knn_blocks(base: DataFrame, queries: DataFrame, groups: list[str], k: int,
 
     keys = [*groups, "qi", "bi"]
     cols = [*keys, "id", "vec"]
-    return q.select(*cols).groupBy(*keys).cogroup(b.select(*cols).groupBy(*keys)).applyInPandas(
-        search, _HITS)
+    # Fresh aliases keep the two sides apart when both come from one frame.
+    q, b = (side.select(*[F.col(c).alias(c) for c in cols]) for side in (q, b))
+    return q.groupBy(*keys).cogroup(b.groupBy(*keys)).applyInPandas(search, _HITS)
 
 
 def knn(base: DataFrame, queries: DataFrame, k: int = 10, metric: str = COSINE,

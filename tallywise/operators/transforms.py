@@ -15,7 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.quantiles import LINEAR, column_quantiles, unpivot
-from ..functions.vectors import vector
+from ..functions.ranking import row_positions
 from ..schemas import column_kinds
 
 FENCES = {"q1": (0.25, LINEAR), "q2": (0.5, LINEAR), "q3": (0.75, LINEAR)}
@@ -64,15 +64,22 @@ def impute_mode(df: DataFrame, modes: DataFrame, columns: list[str]) -> DataFram
 
 # -- categories -------------------------------------------------------------------------------
 
-def fit_labels(df: DataFrame, columns: list[str]) -> DataFrame:
+def fit_labels(df: DataFrame, columns: list[str], few: int = 1_000_000) -> DataFrame:
     """(feature, value, code): codes in text order over the distinct values.
 
-    The code of a value is the number of smaller distinct values. Distinct values are ranked
-    after one aggregate over the data.
+    The code is the number of smaller distinct values of the column. Up to `few` distinct values
+    per column are ranked in one window, a longer dictionary over range partitions.
     """
-    values = category_counts(df, columns).where(F.col("value").isNotNull())
-    rank = F.row_number().over(W.partitionBy("feature").orderBy("value")) - F.lit(1)
-    return values.select("feature", "value", rank.alias("code"))
+    values = category_counts(df, columns).where(F.col("value").isNotNull()).select(
+        "feature", "value")
+    sizes = values.groupBy("feature").agg(F.count("*").alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= few:
+        place = F.row_number().over(W.partitionBy("feature").orderBy("value"))
+        return values.select("feature", "value", (place - F.lit(1)).alias("code"))
+    placed = row_positions(values, ["feature", "value"], "place")
+    first = placed.groupBy("feature").agg(F.min("place").alias("first"))
+    return placed.join(first, "feature").select(
+        "feature", "value", (F.col("place") - F.col("first")).cast("int").alias("code"))
 
 
 def label_encode(df: DataFrame, labels: DataFrame, columns: list[str]) -> DataFrame:

@@ -46,7 +46,7 @@ SIMILARITY_RESULTS = _struct(
      ("similarity_method", _str)], [])
 
 CLUSTERING_RESULTS = _struct(
-    [("user_id", _long), ("cluster_id", _int), ("cluster_method", _str)],
+    [("user_id", _long), ("cluster_id", _long), ("cluster_method", _str)],
     [("distance_to_center", _dbl), ("cluster_probability", _dbl)])
 
 ANOMALY_RESULTS = _struct(
