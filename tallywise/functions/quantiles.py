@@ -90,8 +90,9 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, specs: dict,
     a group with only nulls yields no row.
     """
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    sizes = base.groupBy(*keys).agg(F.count("_v").alias("_n"))
-    # One number decides whether the split is needed at all; only the key column is scanned.
+    # Rows bound the values of a group; counting them needs the key columns only. One number
+    # decides whether the split is needed at all.
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
     if (sizes.agg(F.max("_n")).first()[0] or 0) <= hot_rows:
         return _sorted_quantiles(base, keys, specs)
     hot = sizes.where(F.col("_n") > F.lit(hot_rows)).select(*keys)
@@ -111,7 +112,6 @@ def column_quantiles(df: DataFrame, columns: list[str], specs: dict,
 
 def unpivot(df: DataFrame, columns: list[str], keep: list[str] | None = None) -> DataFrame:
     """Long form (keep..., feature, _v) of numeric columns without nulls."""
-    items = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("_v"))
-                      for c in columns])
-    return (df.select(*(keep or []), F.explode(items).alias("_e"))
-            .select(*(keep or []), "_e.feature", "_e._v").where(F.col("_v").isNotNull()))
+    items = ", ".join(f"struct('{c}' as feature, cast(`{c}` as double) as _v)" for c in columns)
+    return (df.select(*(keep or []), F.expr(f"inline(array({items}))"))
+            .where(F.col("_v").isNotNull()))

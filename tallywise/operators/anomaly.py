@@ -61,14 +61,14 @@ def fit_isolation_forest(df: DataFrame, seed: int = 42, trees: int = TREES,
     """
     n = df.count()
     share = min(1.0, rows_per_tree / max(n, 1))
-    key = F.col("id")
+    draw = lambda *more: F.pmod(F.xxhash64("id", F.lit(seed), *more), F.lit(1 << 31)) / float(1 << 31)
     if share * trees <= 1.0:
         # Each row belongs to at most one tree: one hash per row.
-        slot = F.floor(uniform(key, f"forest{seed}") / F.lit(share)).cast("int")
-        picked = df.withColumn("tree", slot).where(F.col("tree") < trees)
+        picked = df.withColumn("tree", F.floor(draw() / share).cast("int")).where(
+            F.col("tree") < trees)
     else:
-        mine = [F.when(uniform(key, f"forest{seed}:{t}") < share, F.lit(t)) for t in range(trees)]
-        picked = df.withColumn("tree", F.explode(F.array_compact(F.array(*mine))))
+        picked = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).where(
+            draw(F.col("tree")) < share)
     limit = math.ceil(math.log2(max(rows_per_tree, 2)))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -34,7 +34,7 @@ def _held(df: DataFrame):
     return _ml(df).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def side_by_side(tasks: list, workers: int = 4) -> list:
+def side_by_side(tasks: list, workers: int = 8) -> list:
     """Run independent fits concurrently, as the ML tuning classes do; results in task order."""
     with ThreadPool(workers) as pool:
         return pool.map(inheritable_thread_target(lambda task: task()), tasks)
@@ -86,14 +86,16 @@ def choose_k(df: DataFrame, n: int, max_k: int = 10, restarts: int = 10,
              seed: int = 42) -> DataFrame:
     """(k, inertia, silhouette, is_best) for the k range of the elbow search."""
     data = _held(df)
-
-    def score(k: int) -> tuple:
-        model = fit_kmeans(data, k, restarts, seed)
-        return (k, float(model.summary.trainingCost),
-                float(ClusteringEvaluator().evaluate(model.transform(data))))
-
+    ks = range(2, min(max_k + 1, n // 2))
+    fit = lambda k, s: KMeans(k=k, seed=s, maxIter=20).fit(data)
     try:
-        rows = [score(k) for k in range(2, min(max_k + 1, n // 2))]
+        fits = side_by_side([lambda k=k, s=seed + i: (k, fit(k, s))
+                             for k in ks for i in range(restarts)])
+        cheapest = {k: min((m for q, m in fits if q == k), key=lambda m: m.summary.trainingCost)
+                    for k in ks}
+        rows = side_by_side([lambda k=k, m=m: (
+            k, float(m.summary.trainingCost), float(ClusteringEvaluator().evaluate(m.transform(data))))
+            for k, m in cheapest.items()])
     finally:
         data.unpersist()
     best = min(rows, key=lambda r: (-r[2], r[0]))[0] if rows else None

@@ -9,12 +9,11 @@ Two aggregates and one quantile pass over the transactions, all keyed by user:
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import FALLBACK_CITY
 from ..functions.quantiles import LINEAR, NEAREST, group_quantiles
-from ..functions.scalar import is_night
 from ..schemas import FEATURE_COLUMNS
 
 USER = "user_id"
@@ -39,35 +38,60 @@ _QUANTILES = {"median_transaction_amount": (0.5, LINEAR),
               "amount_percentile_25": (0.25, NEAREST), "amount_percentile_75": (0.75, NEAREST)}
 
 
-def _ratio(flag: Column) -> Column:
-    return F.avg(flag.cast("int"))
+_VOLUME_AGGS = {
+    "total_transactions": "count(*)",
+    "total_amount": "sum(amount)",
+    "avg_transaction_amount": "avg(amount)",
+    "std_transaction_amount": "coalesce(stddev_samp(amount), 0.0D)",
+    "min_transaction_amount": "min(amount)",
+    "max_transaction_amount": "max(amount)",
+}
+_HOUR_AGGS = {
+    "avg_hour_of_day": "avg(hour_of_day)",
+    "std_hour_of_day": "coalesce(stddev_samp(hour_of_day), 0.0D)",
+    "weekend_transaction_ratio": "avg(cast(is_weekend as int))",
+    "night_transaction_ratio": "avg(cast(hour_of_day >= 22 or hour_of_day <= 6 as int))",
+}
+# Population skewness; a constant or single value has none and counts as zero.
+_SKEWNESS = {
+    "amount_skewness": "if(min(amount) = max(amount), 0.0D, "
+                       "coalesce(nanvl(skewness(amount), 0.0D), 0.0D))",
+}
 
 
-def _volume_aggs() -> dict[str, Column]:
-    amount = F.col(AMOUNT)
-    return {"total_transactions": F.count("*"), "total_amount": F.sum(amount),
-            "avg_transaction_amount": F.avg(amount),
-            "std_transaction_amount": F.coalesce(F.stddev_samp(amount), F.lit(0.0)),
-            "min_transaction_amount": F.min(amount), "max_transaction_amount": F.max(amount)}
+def _distinct(kind: str) -> str:
+    return f"count_if(kind = '{kind}' and value is not null)"
 
 
-def _hour_aggs() -> dict[str, Column]:
-    hour = F.col("hour_of_day")
-    return {"avg_hour_of_day": F.avg(hour),
-            "std_hour_of_day": F.coalesce(F.stddev_samp(hour), F.lit(0.0)),
-            "weekend_transaction_ratio": _ratio(F.col("is_weekend")),
-            "night_transaction_ratio": _ratio(is_night(hour))}
+def _rows(kind: str) -> str:
+    return f"sum(if(kind = '{kind}', cnt, 0))"
 
 
-def _skewness() -> Column:
-    """Population skewness; a constant or single value has none and counts as zero."""
-    skew = F.skewness(AMOUNT)
-    return F.when(F.min(AMOUNT) == F.max(AMOUNT), F.lit(0.0)).otherwise(
-        F.coalesce(F.nanvl(skew, F.lit(0.0)), F.lit(0.0)))
+def _mode(kind: str) -> str:
+    """Most frequent value, the smallest name on a tie."""
+    return f"min(if(kind = '{kind}' and value is not null, struct(-cnt, value), null)).value"
+
+
+_FREQUENCY = {"transaction_frequency":
+              f"{_rows('transaction_date')} / greatest({_distinct('transaction_date')}, 1)"}
+_GEO_AGGS = {
+    "unique_cities_count": _distinct("city"),
+    "unique_provinces_count": _distinct("province"),
+    "most_frequent_city": _mode("city"),
+    "most_frequent_province": _mode("province"),
+    "geographical_diversity": f"{_distinct('city')} / {_rows('city')}",
+}
+_BEHAVIORAL_AGGS = {
+    "card_type_diversity": f"{_distinct('card_type')} / {_rows('card_type')}",
+    "device_type_diversity": f"{_distinct('device_type')} / {_rows('device_type')}",
+    "regularity_score": "1.0D / (coalesce(stddev_samp("
+                        "if(kind = 'transaction_date', cnt, null)), 0.0D) + 1.0D)",
+}
 
 
-def _named(aggs: dict[str, Column]) -> list[Column]:
-    return [expr.alias(name) for name, expr in aggs.items()]
+def _by_user(df: DataFrame, *aggs: dict[str, str]) -> DataFrame:
+    return df.groupBy(USER).agg(*[F.expr(f"{text} as {name}")
+                                  for group in aggs for name, text in group.items()])
 
 
 def value_counts_by_user(tx: DataFrame, kinds: list[str]) -> DataFrame:
@@ -79,100 +103,53 @@ def value_counts_by_user(tx: DataFrame, kinds: list[str]) -> DataFrame:
             .agg(F.count("*").alias("cnt")))
 
 
-def _distinct(kind: str) -> Column:
-    return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull())
-
-
-def _mode(kind: str) -> Column:
-    """Most frequent value, the smallest name on a tie."""
-    order = F.struct(-F.col("cnt"), F.col("value"))
-    return F.min(F.when((F.col("kind") == kind) & F.col("value").isNotNull(), order)).getField(
-        "value")
-
-
-def _rows(kind: str) -> Column:
-    return F.sum(F.when(F.col("kind") == kind, F.col("cnt")))
-
-
-def _regularity() -> Column:
-    std = F.stddev_samp(F.when(F.col("kind") == "transaction_date", F.col("cnt")))
-    return F.lit(1.0) / (F.coalesce(std, F.lit(0.0)) + F.lit(1.0))
-
-
-def _per_row(distinct: Column, rows: Column) -> Column:
-    return distinct / rows
-
-
-def _geo_aggs() -> dict[str, Column]:
-    return {"unique_cities_count": _distinct("city"),
-            "unique_provinces_count": _distinct("province"),
-            "most_frequent_city": _mode("city"), "most_frequent_province": _mode("province"),
-            "geographical_diversity": _per_row(_distinct("city"), _rows("city"))}
-
-
-def _frequency() -> dict[str, Column]:
-    days = F.greatest(_distinct("transaction_date"), F.lit(1))
-    return {"transaction_frequency": _rows("transaction_date") / days}
-
-
-def _behavioral_aggs() -> dict[str, Column]:
-    return {"card_type_diversity": _per_row(_distinct("card_type"), _rows("card_type")),
-            "device_type_diversity": _per_row(_distinct("device_type"), _rows("device_type")),
-            "regularity_score": _regularity()}
-
-
 def volume_features(tx: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     """Count, sum, mean, sample std, min, max and median of the amounts."""
     spec = {"median_transaction_amount": (0.5, LINEAR)}
-    return (tx.groupBy(USER).agg(*_named(_volume_aggs()))
+    return (_by_user(tx, _VOLUME_AGGS)
             .join(group_quantiles(tx, [USER], AMOUNT, spec, hot_rows), USER, "left")
             .select(USER, *VOLUME))
 
 
 def temporal_features(tx: DataFrame) -> DataFrame:
     """Hour statistics, Friday and night shares, transactions per active day."""
-    days = value_counts_by_user(tx, ["transaction_date"]).groupBy(USER).agg(*_named(_frequency()))
-    return (tx.groupBy(USER).agg(*_named(_hour_aggs())).join(days, USER).select(USER, *TEMPORAL))
+    days = _by_user(value_counts_by_user(tx, ["transaction_date"]), _FREQUENCY)
+    return _by_user(tx, _HOUR_AGGS).join(days, USER).select(USER, *TEMPORAL)
 
 
 def geo_features(tx: DataFrame) -> DataFrame:
     """Distinct places, most frequent places, distinct cities per transaction."""
-    return (value_counts_by_user(tx, ["city", "province"]).groupBy(USER)
-            .agg(*_named(_geo_aggs())).select(USER, *GEO))
+    return _by_user(value_counts_by_user(tx, ["city", "province"]), _GEO_AGGS).select(USER, *GEO)
 
 
 def amount_distribution_features(tx: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     """Nearest-rank quartiles, their range, population skewness."""
     spec = {k: v for k, v in _QUANTILES.items() if k != "median_transaction_amount"}
     q = group_quantiles(tx, [USER], AMOUNT, spec, hot_rows)
-    return (tx.groupBy(USER).agg(_skewness().alias("amount_skewness")).join(q, USER, "left")
+    return (_by_user(tx, _SKEWNESS).join(q, USER, "left")
             .withColumn("amount_iqr", F.col("amount_percentile_75") - F.col("amount_percentile_25"))
             .select(USER, *AMOUNT_DISTRIBUTION))
 
 
 def behavioral_features(tx: DataFrame) -> DataFrame:
     """Card and device variety per transaction, evenness of the daily counts."""
-    return (value_counts_by_user(tx, ["card_type", "device_type", "transaction_date"])
-            .groupBy(USER).agg(*_named(_behavioral_aggs())).select(USER, *BEHAVIORAL))
+    counts = value_counts_by_user(tx, ["card_type", "device_type", "transaction_date"])
+    return _by_user(counts, _BEHAVIORAL_AGGS).select(USER, *BEHAVIORAL)
 
 
 def with_defaults(df: DataFrame) -> DataFrame:
     """Fill the feature columns of users without transactions."""
-    types = dict(FEATURE_COLUMNS)
-    fill = {}
-    for name in df.columns:
-        if name in types and name not in ("age", "birth_year"):
-            fill[name] = F.coalesce(F.col(name), F.lit(DEFAULTS.get(name, 0)).cast(types[name]))
-    return df.withColumns(fill)
+    zero = {"bigint": 0, "double": 0.0, "string": ""}
+    return df.na.fill({name: DEFAULTS.get(name, zero[kind.simpleString()])
+                       for name, kind in FEATURE_COLUMNS
+                       if name in df.columns and name not in ("age", "birth_year")})
 
 
 def user_features(users: DataFrame, tx: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
     """user_id plus 26 features for every user, defaults where there are no transactions."""
-    measures = tx.groupBy(USER).agg(
-        *_named(_volume_aggs()), *_named(_hour_aggs()), _skewness().alias("amount_skewness"))
+    measures = _by_user(tx, _VOLUME_AGGS, _HOUR_AGGS, _SKEWNESS)
     kinds = ["transaction_date", "city", "province", "card_type", "device_type"]
-    counts = value_counts_by_user(tx, kinds).groupBy(USER).agg(
-        *_named(_frequency()), *_named(_geo_aggs()), *_named(_behavioral_aggs()))
+    counts = _by_user(value_counts_by_user(tx, kinds), _FREQUENCY, _GEO_AGGS, _BEHAVIORAL_AGGS)
     quantiles = group_quantiles(tx, [USER], AMOUNT, _QUANTILES, hot_rows)
     joined = (users.select(USER, "age", "birth_year")
               .join(measures, USER, "left").join(counts, USER, "left")

@@ -157,27 +157,27 @@ def _needed_levels(all_sites: DataFrame, side: float, dims: list[int], k: int,
 def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): components by repeated hooking to the smallest neighbour and contraction.
 
-    Every round removes all nodes that have a smaller neighbour, so rounds grow with the
-    logarithm of the size, not with the diameter. Each round is written to the shared folder.
+    Each round moves every node three squarings (eight steps) up its chain of smallest
+    neighbours and rewrites the edges between what is left. Chains need not end in one round:
+    a node stands for an ancestor in its component either way. The work tables of a round are
+    written to the shared folder; the loop ends when no edge joins two different nodes.
     """
     owner = nodes.select("node", F.col("node").alias("root"))
     both = cut_lineage(edges.select("u", "v").unionByName(
         edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).where("u <> v").distinct())
     for _ in range(max_rounds):
         if both.isEmpty():
-            return owner
+            return cut_lineage(owner)
         hook = both.groupBy("u").agg(F.min("v").alias("p")).select(
             "u", F.least("u", "p").alias("p"))
+        for _ in range(3):
+            hook = cut_lineage(hook)
+            above = hook.select(F.col("u").alias("p"), F.col("p").alias("q"))
+            hook = hook.join(above, "p").select("u", F.col("q").alias("p"))
         hook = cut_lineage(hook)
-        while True:
-            jumped = cut_lineage(hook.alias("x").join(
-                hook.select(F.col("u").alias("p"), F.col("p").alias("q")), "p").select(
-                "u", F.col("q").alias("p"), (F.col("q") != F.col("p")).alias("moved")))
-            hook = jumped.select("u", "p")
-            if jumped.where("moved").isEmpty():
-                break
-        owner = cut_lineage(owner.join(hook.withColumnsRenamed({"u": "root", "p": "_p"}), "root", "left")
-                            .select("node", F.coalesce("_p", "root").alias("root")))
+        # Hooks are stored, so this stays a chain of cheap look-ups and is settled at the end.
+        owner = owner.join(hook.withColumnsRenamed({"u": "root", "p": "_p"}), "root", "left") \
+            .select("node", F.coalesce("_p", "root").alias("root"))
         both = cut_lineage(
             both.join(hook, "u").select(F.col("p").alias("pu"), F.col("v").alias("u"))
             .join(hook, "u").select(F.col("pu").alias("u"), F.col("p").alias("v"))

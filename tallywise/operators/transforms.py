@@ -100,14 +100,12 @@ def label_encode(df: DataFrame, labels: DataFrame, columns: list[str]) -> DataFr
 
 def column_moments(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, n, mean, std_pop, std_samp, min, max) in one map-side combined pass."""
-    aggs = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        aggs.append(F.struct(
-            F.lit(c).alias("feature"), F.count(x).alias("n"), F.avg(x).alias("mean"),
-            F.stddev_pop(x).alias("std_pop"), F.stddev_samp(x).alias("std_samp"),
-            F.min(x).alias("min"), F.max(x).alias("max")).alias(f"_{c}"))
-    return df.agg(*aggs).select(F.inline(F.array(*[F.col(f"_{c}") for c in columns])))
+    stats = {"n": "count", "mean": "avg", "std_pop": "stddev_pop", "std_samp": "stddev_samp",
+             "min": "min", "max": "max"}
+    rows = ", ".join(f"struct('{c}' as feature, " + ", ".join(
+        f"{fn}(cast(`{c}` as double)) as {name}" for name, fn in stats.items()) + ")"
+        for c in columns)
+    return df.agg(F.expr(f"array({rows})").alias("_r")).select(F.inline("_r"))
 
 
 def fit_scaler(df: DataFrame, columns: list[str], method: str = "standard") -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators import features as feat
 from ..schemas import FEATURE_COLUMNS
@@ -29,6 +28,6 @@ def lfeats(spark, folder) -> DataFrame:
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column, so that summation order does not show."""
-    return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name) if f.dataType.simpleString() == "double"
-        else F.col(f.name) for f in df.schema.fields])
+    return df.selectExpr(*[
+        f"round(`{f.name}`, {digits}) as `{f.name}`" if f.dataType.simpleString() == "double"
+        else f"`{f.name}`" for f in df.schema.fields])
