@@ -49,8 +49,11 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df):
-    """Materialise `df` in the shared folder so that lost executors cost no recomputation."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    """Write `df` to the shared folder and read it back, so that lost executors cost no recomputation.
+
+    A written table also carries its real size: a checkpoint keeps the estimate of the plan it
+    came from, and iterated joins would multiply these estimates without end.
+    """
+    path = work_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
