@@ -157,10 +157,9 @@ def _needed_levels(all_sites: DataFrame, side: float, dims: list[int], k: int,
 def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, root): components by repeated hooking to the smallest neighbour and contraction.
 
-    Each round moves every node three squarings (eight steps) up its chain of smallest
-    neighbours and rewrites the edges between what is left. Chains need not end in one round:
-    a node stands for an ancestor in its component either way. The work tables of a round are
-    written to the shared folder; the loop ends when no edge joins two different nodes.
+    A round follows the chains of smallest neighbours to their ends, doubling the step each time,
+    and rewrites the edges between the ends. Only local minima are left after a round, so rounds
+    and doublings both grow with the logarithm of the size. Work tables go to the shared folder.
     """
     owner = nodes.select("node", F.col("node").alias("root"))
     both = cut_lineage(edges.select("u", "v").unionByName(
@@ -168,13 +167,15 @@ def connected_components(edges: DataFrame, nodes: DataFrame, max_rounds: int = 6
     for _ in range(max_rounds):
         if both.isEmpty():
             return cut_lineage(owner)
-        hook = both.groupBy("u").agg(F.min("v").alias("p")).select(
-            "u", F.least("u", "p").alias("p"))
-        for _ in range(3):
-            hook = cut_lineage(hook)
+        hook = cut_lineage(both.groupBy("u").agg(F.min("v").alias("p")).select(
+            "u", F.least("u", "p").alias("p")))
+        while True:
             above = hook.select(F.col("u").alias("p"), F.col("p").alias("q"))
-            hook = hook.join(above, "p").select("u", F.col("q").alias("p"))
-        hook = cut_lineage(hook)
+            hook = cut_lineage(hook.select("u", "p").join(above, "p").select(
+                "u", F.col("q").alias("p"), (F.col("q") != F.col("p")).alias("moved")))
+            if hook.where("moved").isEmpty():
+                break
+        hook = hook.select("u", "p")
         # Hooks are stored, so this stays a chain of cheap look-ups and is settled at the end.
         owner = owner.join(hook.withColumnsRenamed({"u": "root", "p": "_p"}), "root", "left") \
             .select("node", F.coalesce("_p", "root").alias("root"))
