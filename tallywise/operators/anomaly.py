@@ -164,6 +164,7 @@ def rbf_boundary_score(df: DataFrame, d: int, nu: float = 0.1, size: int = 32,
     Directions scale with gamma = 1 / (d * variance). Two passes of expressions: the mean of
     `size` cosines, then a dot product per row; the lowest share nu is flagged.
     """
+    df = cut_lineage(df.select("id", "vec"))
     w, b = rbf_features(d, size, seed)
     gamma = F.coalesce(F.try_divide(F.lit(1.0), F.lit(float(d)) * F.col("v")), F.lit(1.0))
     width = total_variance(df, d).select(F.sqrt(F.lit(2.0) * gamma).alias("g")).scalar()

@@ -11,13 +11,14 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..functions.quantiles import unpivot
 from ..functions.scalar import ratio_or_one
 from ..functions.vectors import euclidean, squared_distance
+from ..session import cut_lineage
 from .neighbours import dbscan
 from .relational import best_by
 
@@ -37,7 +38,8 @@ def _held(df: DataFrame):
 def side_by_side(tasks: list, workers: int = 8) -> list:
     """Run independent fits concurrently, as the ML tuning classes do; results in task order."""
     with ThreadPool(workers) as pool:
-        return pool.map(inheritable_thread_target(lambda task: task()), tasks)
+        run = inheritable_thread_target(SparkSession.getActiveSession())(lambda task: task())
+        return pool.map(run, tasks)
 
 
 def fit_kmeans(data: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 20):
@@ -74,7 +76,7 @@ def centroid_table(df: DataFrame, d: int) -> DataFrame:
 
 def kmeans_fixed_init(df: DataFrame, centroids: list[list[float]], steps: int) -> DataFrame:
     """Lloyd steps from given centroids; k*d numbers reach the driver per step."""
-    d = len(centroids[0])
+    d, df = len(centroids[0]), cut_lineage(df.select("id", "vec"))
     for _ in range(steps):
         rows = centroid_table(nearest_centroid(df, centroids), d).collect()
         found = {r["cluster_id"]: list(r["center"]) for r in rows}

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.quantiles import LINEAR, column_quantiles, unpivot
 from ..functions.ranking import row_positions
 from ..schemas import column_kinds
+from ..session import cut_lineage
 
 FENCES = {"q1": (0.25, LINEAR), "q2": (0.5, LINEAR), "q3": (0.75, LINEAR)}
 
@@ -276,25 +277,28 @@ DEFAULT_STEPS = ("missing_values", "categorical_encoding", "interaction_features
 class FeatureSteps:
     """Impute, encode, interact, scale and optionally drop outliers, in this order.
 
-    `fit` keeps the statistics tables, `apply` reuses them on other data. Outliers are dropped
-    on the fitted data only.
+    `fit` passes over the data several times, so it stores the data once; it also stores the
+    small statistics tables, which `apply` reuses on other data. Outliers are dropped on the
+    fitted data only.
     """
 
     def __init__(self, steps=DEFAULT_STEPS, scaling: str = "standard"):
         self.steps, self.scaling, self.stats = tuple(steps), scaling, {}
 
     def fit(self, df: DataFrame) -> DataFrame:
+        df = cut_lineage(df)
         kinds = column_kinds(df)
         if "missing_values" in self.steps:
-            self.stats["medians"] = fit_medians(df, kinds["numerical"])
+            self.stats["medians"] = cut_lineage(fit_medians(df, kinds["numerical"]))
             if kinds["categorical"]:
-                self.stats["modes"] = fit_modes(df, kinds["categorical"])
+                self.stats["modes"] = cut_lineage(fit_modes(df, kinds["categorical"]))
             df = self._impute(df)
         if "categorical_encoding" in self.steps and kinds["categorical"]:
-            self.stats["labels"] = fit_labels(df, kinds["categorical"])
+            self.stats["labels"] = cut_lineage(fit_labels(df, kinds["categorical"]))
         df = self._derive(df)
         if "scaling" in self.steps:
-            self.stats["scaler"] = fit_scaler(df, column_kinds(df)["numerical"], self.scaling)
+            self.stats["scaler"] = cut_lineage(
+                fit_scaler(df, column_kinds(df)["numerical"], self.scaling))
             df = self._scale(df)
         if "outlier_removal" in self.steps:
             df = remove_outliers(df, threshold=2.0)

@@ -24,7 +24,7 @@ def kmeans(spark, d):
 
 @query("j3_choose_k")
 def choose_k(spark, d):
-    df = plane(spark, d)
+    df = cut_lineage(plane(spark, d))
     return rounded(cl.choose_k(df, df.count(), max_k=10, restarts=2))
 
 
@@ -35,7 +35,7 @@ def bisecting(spark, d):
 
 @query("j7_gaussian_mixture")
 def mixture(spark, d):
-    return cl.gaussian_mixture(plane(spark, d), 4)
+    return cl.gaussian_mixture(cut_lineage(plane(spark, d)), 4)
 
 
 @query("j8_silhouette")
@@ -57,7 +57,7 @@ def pca2(spark, d):
 
 
 def anomaly_vectors(spark, d):
-    return cut_lineage(scaled_vectors(lfeats(spark, d), C.ANOMALY_FEATURES))
+    return cut_lineage(scaled_vectors(cut_lineage(lfeats(spark, d)), C.ANOMALY_FEATURES))
 
 
 @query("k1_isolation_forest")
