@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,17 +29,12 @@ def build_session(app: str = "tallywise", master: str | None = None, **conf) ->
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by `spark.checkpoint.dir`.
 
-    Only a `local` session, where driver and executors are one process, may fall back to a
-    temporary folder; on a cluster an unset folder is an error.
+    Where it is unset, a folder in the warehouse, which all executors share as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="tallywise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -56,4 +50,14 @@ def cut_lineage(df):
     """
     path = work_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored.work_table = path
+    return stored
+
+
+def release(*stored) -> None:
+    """Delete the tables behind frames that `cut_lineage` returned, once nothing reads them any more."""
+    for df in stored:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.work_table)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
