@@ -40,7 +40,7 @@ NOTICES = re.compile(
     r"sharing|sidebar|signup|social|sponsor|sponsored|subscribe|subscription|toolbar|widget|discussion|"
     r"contentinfo|complementary|search|alert)(?:$|[\s_-])", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
-                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I | re.S)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 BLANK = re.compile(r"\s+")
@@ -121,20 +121,20 @@ def _outside_article(node: Node) -> bool:
 
 
 def _post_order(root: Node) -> list[Node]:
+    """Nodes that may be part of an article, children first."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
         order.append(node)
-        stack.extend(c for c in node.items if isinstance(c, Node))
+        stack.extend(c for c in node.items if isinstance(c, Node)
+                     and not (_is_notice(c) or _outside_article(c)))
     return order[::-1]
 
 
 def _measure(root: Node) -> list[Node]:
-    """Fill in characters, tags, densities and sums; returns the nodes, children first."""
+    """Fill in characters, tags, densities and sums; what is left out counts as a tag without text."""
     order = _post_order(root)
     for node in order:
-        if _is_notice(node) or _outside_article(node):
-            continue  # counts as no text, one tag
         for item in node.items:
             if isinstance(item, str):
                 node.chars += len(BLANK.sub(" ", item).strip())
@@ -183,9 +183,10 @@ def main_node(root: Node) -> Node:
 
 
 def _has_equal(node: Node, threshold: float) -> bool:
-    """Whether a sibling is as dense as the article must be, and mostly no links."""
-    return any(isinstance(c, Node) and c is not node and c.chars and c.density >= threshold
-               and c.link_chars < c.chars / 2 for c in node.parent.items)
+    """Whether a sibling is prose too: few links, and as dense or, below the body's top level, of the same kind."""
+    inner = node.parent.tag not in ("body", "html")
+    return any(isinstance(c, Node) and c is not node and c.chars and c.link_chars < c.chars / 3
+               and (c.density >= threshold or inner and c.tag == node.tag) for c in node.parent.items)
 
 
 def _blocks(root: Node) -> Iterable[str]:
@@ -205,7 +206,7 @@ def _blocks(root: Node) -> Iterable[str]:
         elif item.tag in ("br", "hr"):
             yield "".join(line)
             line = []
-        elif not (item is not root and (_is_notice(item) or _outside_article(item))):
+        elif not (_is_notice(item) or _outside_article(item)):
             if item.tag not in INLINE:
                 yield "".join(line)
                 line = []
