@@ -1,9 +1,9 @@
 """Exact quantiles per group that survive groups of any size.
 
-Groups up to `hot_rows` rows are sorted inside one aggregation buffer. A larger group never
-meets in one buffer: a mergeable sketch brackets each wanted rank, rows below the bracket
-collapse to a count before the shuffle, and only the rows inside the bracket (about 4/accuracy
-of the group, equal values collapsed) are ranked one by one.
+Groups up to `hot_rows` rows are sorted inside one aggregation buffer. A larger group, such as a
+whole column, never meets in one task: a mergeable sketch brackets each wanted rank, counts per bin
+narrow the bracket, and only the distinct values inside the last bin are ranked one by one. The
+brackets are broadcast, so rows are counted where they lie and only counts are shuffled.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 NEAREST, LINEAR = "nearest", "linear"
+BINS = 4_096
 
 
 def _ranks(n: Column, q: float, how: str) -> tuple[Column, Column, Column]:
@@ -40,7 +41,8 @@ def _sorted_quantiles(df: DataFrame, keys: list[str], specs: dict) -> DataFrame:
     return g.select(*keys, *out)
 
 
-def _bracketed_quantiles(df: DataFrame, keys: list[str], specs: dict, accuracy: int) -> DataFrame:
+def _brackets(df: DataFrame, keys: list[str], specs: dict, accuracy: int) -> DataFrame:
+    """A row per group and wanted rank (i, side): the values `lo` and `hi` that enclose it, and `r`."""
     eps = 2.0 / accuracy
     probs = []
     for q, _ in specs.values():
@@ -57,29 +59,57 @@ def _bracketed_quantiles(df: DataFrame, keys: list[str], specs: dict, accuracy:
         lo = F.when(few | F.lit(q <= eps), F.col("_min")).otherwise(F.col("_b").getItem(2 * i))
         hi = F.when(few | F.lit(q >= 1.0 - eps), F.col("_max")).otherwise(
             F.col("_b").getItem(2 * i + 1))
-        probes.append(F.struct(
-            F.lit(i).alias("i"), lo.alias("lo"), hi.alias("hi"),
-            lo_rank.alias("r1"), hi_rank.alias("r2"), w.alias("w")))
-    sketch = sketch.select(*keys, F.array(*probes).alias("_p"))
+        for side, r in enumerate((lo_rank, hi_rank)):
+            probes.append(F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), lo.alias("lo"),
+                                   hi.alias("hi"), r.cast("bigint").alias("r"), w.alias("w")))
+    return sketch.select(*keys, F.explode(F.array(*probes)).alias("_p")).select(*keys, "_p.*")
+
+
+def _met(df: DataFrame, keys: list[str], probes: DataFrame) -> DataFrame:
+    """Rows beside the probes of their group that they do not exceed.
+
+    The probes of a group travel as one array, by broadcast: groups are columns of a schema, or
+    more than `hot_rows` rows each, so there are few of them and the rows stay where they are.
+    """
+    state = probes.groupBy(*keys).agg(F.collect_list(F.struct(
+        *[c for c in probes.columns if c not in keys])).alias("_p"))
+    return (df.join(F.broadcast(state), keys)
+            .select(*keys, "_v", F.explode(F.filter("_p", lambda p: F.col("_v") <= p["hi"])).alias("_p"))
+            .select(*keys, "_v", "_p.*"))
+
+
+def _narrowed(df: DataFrame, keys: list[str], probes: DataFrame) -> DataFrame:
+    """The same probes with `lo` and `hi` moved to the ends of the bin that holds the rank.
+
+    A bracket is cut into BINS equal parts; only counts per part and their ends are shuffled.
+    """
+    width = (F.col("hi") - F.col("lo")) / F.lit(float(BINS))
+    at = F.when(F.col("_v") < F.col("lo"), -1).when(width > 0, F.least(
+        F.floor((F.col("_v") - F.col("lo")) / width), F.lit(BINS - 1))).otherwise(0)
+    probe = [*keys, "i", "side", "r", "w"]
+    bins = (_met(df, keys, probes).groupBy(*probe, at.alias("_bin"))
+            .agg(F.count("*").alias("_c"), F.min("_v").alias("lo"), F.max("_v").alias("hi")))
+    upto = W.partitionBy(*probe).orderBy("_bin").rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = bins.withColumn("_cum", F.sum("_c").over(upto)).where(
+        (F.col("_cum") >= F.col("r")) & (F.col("_cum") - F.col("_c") < F.col("r")))
+    return found.select(*probe, "lo", "hi")
+
+
+def _bracketed_quantiles(df: DataFrame, keys: list[str], specs: dict, accuracy: int) -> DataFrame:
+    probes = _narrowed(df, keys, _brackets(df, keys, specs, accuracy))
+    probe = [*keys, "i", "side", "r", "w"]
     # Rows below a bracket become one null-valued count; nulls sort first in the ranking window.
-    hits = (df.join(sketch, keys)
-            .select(*keys, "_v", F.explode(
-                F.filter("_p", lambda p: F.col("_v") <= p["hi"])).alias("_p"))
-            .groupBy(*keys, "_p", F.when(F.col("_v") >= F.col("_p.lo"), F.col("_v")).alias("_x"))
+    hits = (_met(df, keys, probes)
+            .groupBy(*probe, F.when(F.col("_v") >= F.col("lo"), F.col("_v")).alias("_x"))
             .agg(F.count("*").alias("_c")))
-    upto = W.partitionBy(*keys, "_p").orderBy(F.col("_x").asc_nulls_first()).rowsBetween(
+    upto = W.partitionBy(*probe).orderBy(F.col("_x").asc_nulls_first()).rowsBetween(
         W.unboundedPreceding, W.currentRow)
-    ranked = hits.withColumn("_cum", F.sum("_c").over(upto))
-    covers = lambda r: (F.col("_cum") >= F.col(r)) & (F.col("_cum") - F.col("_c") < F.col(r))
-    found = ranked.groupBy(*keys, "_p").agg(
-        F.max(F.when(covers("_p.r1"), F.col("_x"))).alias("_lo"),
-        F.max(F.when(covers("_p.r2"), F.col("_x"))).alias("_hi"))
-    complete = F.col("_lo").isNotNull() & F.col("_hi").isNotNull()
-    value = F.when(complete, _blend(F.col("_lo"), F.col("_hi"), F.col("_p.w"))).otherwise(
-        F.raise_error(F.lit("quantile rank outside its bracket; raise accuracy")).cast("double"))
-    return found.withColumn("_q", value).groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_p.i") == i, F.col("_q"))).alias(name)
-        for i, name in enumerate(specs)])
+    found = hits.withColumn("_cum", F.sum("_c").over(upto)).where(
+        (F.col("_cum") >= F.col("r")) & (F.col("_cum") - F.col("_c") < F.col("r")))
+    at = lambda i, side: F.max(F.when((F.col("i") == i) & (F.col("side") == side), F.col("_x")))
+    weight = lambda i: F.max(F.when(F.col("i") == i, F.col("w")))
+    return found.groupBy(*keys).agg(*[
+        _blend(at(i, 0), at(i, 1), weight(i)).alias(name) for i, name in enumerate(specs)])
 
 
 def group_quantiles(df: DataFrame, keys: list[str], value: str, specs: dict,
@@ -87,15 +117,13 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, specs: dict,
     """One row per group with the columns named in `specs`: name -> (q, 'nearest'|'linear').
 
     'nearest' takes sorted row round((n-1)q)+1, 'linear' interpolates. Nulls do not count;
-    a group with only nulls yields no row.
+    a group with only nulls yields no row. The plan is the same for every table: groups above
+    `hot_rows` are found when it runs, and an empty set of them ends that branch.
     """
     base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    # Rows bound the values of a group; counting them needs the key columns only. One number
-    # decides whether the split is needed at all.
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    if (sizes.agg(F.max("_n")).first()[0] or 0) <= hot_rows:
-        return _sorted_quantiles(base, keys, specs)
-    hot = sizes.where(F.col("_n") > F.lit(hot_rows)).select(*keys)
+    # Each hot group has more than hot_rows rows, which bounds their number.
+    hot = F.broadcast(base.groupBy(*keys).agg(F.count("*").alias("_n"))
+                      .where(F.col("_n") > F.lit(hot_rows)).select(*keys))
     cold_part = _sorted_quantiles(base.join(hot, keys, "left_anti"), keys, specs)
     hot_part = _bracketed_quantiles(base.join(hot, keys, "left_semi"), keys, specs, accuracy)
     return cold_part.unionByName(hot_part)

@@ -47,3 +47,30 @@ def test_nulls_do_not_count(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, 5.0), (None, 7.0)], "a double, b double")
     got = {r["feature"]: r["q"] for r in column_quantiles(df, ["a", "b"], {"q": (0.5, LINEAR)}).collect()}
     assert got == {"a": 1.5, "b": 6.0}
+
+
+def test_no_task_gets_a_whole_column(spark):
+    """Raw rows are never exchanged, and what is ranked in one task is a small part of the column."""
+    n = 200_000
+    df = spark.range(n, numPartitions=8).selectExpr("cast(hash(id) as double) as x")
+    got = column_quantiles(df, ["x"], {"q": (0.37, LINEAR)}, accuracy=1000)
+    want = np.quantile([r[0] for r in df.collect()], 0.37)
+    assert got.first()["q"] == pytest.approx(want)
+    plan = got._jdf.queryExecution().executedPlan()
+    got.collect()
+    rows = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "ShuffleExchangeExec":
+            rows.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for k in range(children.size()):
+            walk(children.apply(k))
+    walk(plan)
+    walk(got._jdf.queryExecution().executedPlan())
+    assert rows and max(rows) <= n / 20
