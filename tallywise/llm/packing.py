@@ -11,7 +11,11 @@ doc_id are documents of their own, packed each. Very long texts give many pieces
 from __future__ import annotations
 
 import os
+import re
+import sys
 import zlib
+from array import array
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 import pyarrow as pa
@@ -25,33 +29,71 @@ END_ID = 2
 #: Pieces a group packs on its own; the last, emptier bins of a group are what small groups waste.
 PIECES_PER_GROUP = 4_096
 #: Distinct chunks of text whose ids a Python worker remembers, then it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
+#: Latin-1 letters, and marks that no tokenizer of this kind parts or names.
+LATIN = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
+MARKS = ".,;:!?%&$#*+()/-"
+PROBES = ["a", "The", "word,", "Ünïted.", "straßeÀ!!", "éèçôÿ", "x%%&", "ÞÐøå(-)", "antidisestablishmentarianism?!", "."]
+#: Byte-level models name a byte by a character: a printable one by itself, the n-th other by 256 + n.
+BYTE_LETTERS = {b: 256 + n for n, b in enumerate(
+    b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255))}
 
 
-class ChunkTokenizer:
-    """Ids of texts as little-endian unsigned 32-bit bytes.
+class ChunkTokenizer(dict):
+    """Ids of texts as little-endian unsigned 32-bit bytes; the mapping remembers chunks.
 
     For tokenizers that split at white space and drop it: no token then spans an ASCII space or line
-    break, so the ids of a text are those of its chunks in turn, and each chunk is tokenized once.
+    break, so the ids of a text are those of its chunks in turn. A chunk of Latin-1 letters and
+    then punctuation goes to the model directly, if that gives the probes the ids of a full call,
+    which first normalises and splits its text.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.model, self.known = Tokenizer.from_file(path), {}
-
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        out = []
-        for words in split:
-            if len(self.known) > REMEMBERED:
-                self.known = {}
-            new = list(set(words).difference(self.known))
-            if new:
-                for word, code in zip(new, self.model.encode_batch_fast(new, add_special_tokens=False)):
-                    self.known[word] = b"".join(i.to_bytes(4, "little") for i in code.ids)
-            out.append(b"".join(map(self.known.__getitem__, words)))
-        return out
+        self.whole = Tokenizer.from_file(path)
+        self.model, self.words, self.direct = self.whole.model, {}, True
+        self.direct = all(self[w] == self._any(w) for w in PROBES)
+        self.clear()
+
+    def _any(self, chunk: str) -> bytes:
+        return _packed(self.whole.encode(chunk, add_special_tokens=False).ids)
+
+    def _word(self, word: str) -> bytes:
+        """Ids of letters alone, small or capital."""
+        word = word.lower()
+        found = self.words.get(word)
+        if found is None:
+            plain = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+            found = self.words[word] = _packed([t.id for t in self.model.tokenize(plain)])
+        return found
+
+    def __missing__(self, chunk: str) -> bytes:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        if len(self.words) >= REMEMBERED:
+            self.words.clear()
+        word = chunk.rstrip(MARKS)
+        if self.direct and word and (word.isascii() and word.isalpha() or LATIN.fullmatch(word)):
+            found = self._word(word)
+            if len(word) < len(chunk):
+                found += self[chunk[len(word):]]
+        else:
+            found = self._any(chunk)
+        self[chunk] = found
+        return found
+
+    def ids(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        for text in texts:
+            yield b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
+
+
+def _packed(ids: list[int]) -> bytes:
+    out = array("I", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
 
 
 def _pieces(path: str, length: int, with_ids: bool):

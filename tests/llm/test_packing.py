@@ -13,7 +13,7 @@ from tallywise.llm import queries
 
 PATH = public_tokenizers.path(queries.TOKENIZER)
 ODD = [None, "", " ", "\n\n", "It's we'll  don't\tx y z", "a\x1cb\x85c", "ÀÉ é ño ́x ΑΣ ΑΣ. İ",
-       "<|endoftext|> a<|startoftext|>b", "12 3.45% &c", "字 🙂🙂 ‍", "x" * 9000, "\r\nline\r\n"]
+       "<|endoftext|> a<|startoftext|>b", "12 3.45% &c", "字 🙂🙂 ‍", "x" * 9000, "\r\nline\r\n", "STRASSE Straße, ÅØÞ! ÿ× ÷a a\u00ad\xa0b ª º µ", "don't. 's x're (end). a--b"]
 
 
 def plain_ids(texts):
@@ -23,10 +23,21 @@ def plain_ids(texts):
 
 def test_ids_as_of_whole_texts(spark, folder):
     texts = ODD + [r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
-    got = P.ChunkTokenizer(PATH).ids(texts)
+    got = list(P.ChunkTokenizer(PATH).ids(texts))
     assert [np.frombuffer(g, "<u4").tolist() + [P.END_ID] for g in got] == plain_ids(texts)
 
 
+def test_direct_words_and_a_small_memory(monkeypatch):
+    monkeypatch.setattr(P, "REMEMBERED", 3)
+    tokenizer = P.ChunkTokenizer(PATH)
+    assert tokenizer.direct
+    texts = ["Äpfel, und Öl! one TWO three four. five; six (seven) éè", *ODD]
+    got = [np.frombuffer(g, "<u4").tolist() + [P.END_ID] for g in tokenizer.ids(texts)]
+    tokenizer.direct = False
+    again = [np.frombuffer(g, "<u4").tolist() + [P.END_ID] for g in tokenizer.ids(texts)]
+    assert got == again == plain_ids(texts) and len(tokenizer) <= 3
+
+
 def test_tree_as_plain_first_fit():
     rng = random.Random(1)
     for n in (0, 1, 2, 7, 200):

@@ -73,7 +73,7 @@ def test_packing_covers_the_last_documents(stages):
         tokens[r.doc_id] += r.length
     assert set(tokens) == {r.doc_id for r in stages[4]}
     ids = packing.ChunkTokenizer(queries.public_tokenizers.path(queries.TOKENIZER))
-    assert all(tokens[r.doc_id] == len(ids.ids([r.text])[0]) // 4 + 1 for r in stages[4])
+    assert all(tokens[r.doc_id] == len(next(ids.ids([r.text]))) // 4 + 1 for r in stages[4])
 
 
 def test_run_is_the_last_stage(spark, folder, stages):
