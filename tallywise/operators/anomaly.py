@@ -18,12 +18,16 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions.keyed import uniform
 from ..functions.quantiles import LINEAR, column_quantiles
+from ..functions.ranking import row_positions
 from ..functions.scalar import join_labels
 from ..functions.vectors import dot
 from ..session import cut_lineage
-from .relational import hash_sample, user_noise_ratio
+from .relational import user_noise_ratio
 
+#: Defaults of the isolation forest: trees, and rows that each of them draws.
 TREES, ROWS_PER_TREE = 100, 256
+#: Spark's limit; trees end earlier where their rows are of one class.
+MAX_DEPTH = 30
 
 
 # -- isolation forest -------------------------------------------------------------------------
@@ -57,18 +61,14 @@ def fit_isolation_forest(df: DataFrame, seed: int = 42, trees: int = TREES,
                          rows_per_tree: int = ROWS_PER_TREE) -> DataFrame:
     """Node table (tree, node, feature, threshold, depth): at most trees * 2 * rows_per_tree rows.
 
-    Rows join trees by key hash, about rows_per_tree each, and every tree grows in its own task.
+    Every tree draws each row by its own key hash with one probability, about rows_per_tree rows
+    in all, and grows in its own task. A forest sees at most about trees * rows_per_tree rows.
     """
     n = df.count()
     share = min(1.0, rows_per_tree / max(n, 1))
-    draw = lambda *more: F.pmod(F.xxhash64("id", F.lit(seed), *more), F.lit(1 << 31)) / float(1 << 31)
-    if share * trees <= 1.0:
-        # Each row belongs to at most one tree: one hash per row.
-        picked = df.withColumn("tree", F.floor(draw() / share).cast("int")).where(
-            F.col("tree") < trees)
-    else:
-        picked = df.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).where(
-            draw(F.col("tree")) < share)
+    draw = lambda tree: F.pmod(F.xxhash64("id", F.lit(seed), tree), F.lit(1 << 31)) / float(1 << 31)
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) < share)
+    picked = df.withColumn("tree", F.explode(drawn))
     limit = math.ceil(math.log2(max(rows_per_tree, 2)))
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -124,10 +124,20 @@ def flag_lowest(scored: DataFrame, column: str, share: float) -> DataFrame:
     return scored.withColumn("is_anomaly", F.col(column) < q)
 
 
-def isolation_forest(df: DataFrame, contamination: float = 0.1, seed: int = 42) -> DataFrame:
-    """(id, anomaly_score, is_anomaly): score relative to the contamination quantile."""
-    size = min(ROWS_PER_TREE, df.count())
-    forest = fit_isolation_forest(df, seed, rows_per_tree=size)
+def tree_rows(df: DataFrame, rows_per_tree: int = ROWS_PER_TREE) -> int:
+    """Rows that a tree draws: no more than there are."""
+    return min(rows_per_tree, df.count())
+
+
+def isolation_forest(df: DataFrame, contamination: float = 0.1, seed: int = 42, trees: int = TREES,
+                     rows_per_tree: int | None = None, forest: DataFrame | None = None) -> DataFrame:
+    """(id, anomaly_score, is_anomaly): score relative to the contamination quantile.
+
+    `forest` is one fitted before with the same `rows_per_tree`; else it is fitted here.
+    """
+    size = rows_per_tree or tree_rows(df)
+    if forest is None:
+        forest = fit_isolation_forest(df, seed, trees, size)
     scored = cut_lineage(forest_score(df, forest, size).select("id", "raw_score"))
     q = column_quantiles(scored, ["raw_score"], {"q": (contamination, LINEAR)}).select("q").scalar()
     shifted = scored.select("id", (F.col("raw_score") - q).alias("anomaly_score"))
@@ -196,7 +206,8 @@ def balanced_weights(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("weight", total / (F.lit(2.0) * F.col("cnt")))
 
 
-def fit_supervised(df: DataFrame, trees: int = 100, seed: int = 42, min_positives: int = 5):
+def fit_supervised(df: DataFrame, trees: int = 100, seed: int = 42, min_positives: int = 5,
+                   max_depth: int = MAX_DEPTH):
     """A class-balanced random forest on (id, vec, is_anomaly); None with too few positives."""
     n, pos = df.agg(F.count("*"), F.count_if("is_anomaly")).first()
     if pos < min_positives or pos == n:
@@ -205,7 +216,7 @@ def fit_supervised(df: DataFrame, trees: int = 100, seed: int = 42, min_positive
         F.lit(n / (2.0 * (n - pos))))
     data = df.select(array_to_vector("vec").alias("features"),
                      F.col("is_anomaly").cast("double").alias("label"), weight.alias("w"))
-    return RandomForestClassifier(numTrees=trees, seed=seed, weightCol="w", maxDepth=8,
+    return RandomForestClassifier(numTrees=trees, seed=seed, weightCol="w", maxDepth=max_depth,
                                   cacheNodeIds=True).fit(data)
 
 
@@ -230,22 +241,23 @@ def supervised_forest(df: DataFrame, seed: int = 42) -> DataFrame | None:
 # -- explanation ------------------------------------------------------------------------------
 
 def shapley_contributions(rows: DataFrame, background: DataFrame, names: list[str], score,
-                          permutations: int = 10, background_rows: int = 100) -> DataFrame:
-    """(id, feature, contribution): sampled Shapley values of `score` for every given row.
+                          permutations: int = 10) -> DataFrame:
+    """(id, feature, contribution, base): sampled Shapley values of `score` for every given row.
 
-    `score` maps a frame with `vec` to one with `score`. For each row and permutation the
-    features switch one by one from a background row to the row itself; a contribution is the
-    mean change of the score at the switch of that feature.
+    `score` maps a frame with `vec` to one with `score`. For each row and permutation a row is
+    drawn from the whole background, and the features switch one by one from it to the row
+    itself; a contribution is the mean change of the score at the switch of that feature. `base`
+    is the mean score of the drawn rows: contributions and base add up to the row's score.
     """
     d = len(names)
-    sample = hash_sample(background.select("id", "vec"), "id", background_rows, "background")
-    pool = sample.agg(F.sort_array(F.collect_list(F.struct("id", "vec"))).alias("p")).scalar()
+    pool = row_positions(background.select("id", "vec"), ["id"], "_at").select(
+        F.col("_at").alias("_draw"), F.col("vec").alias("b"))
+    total = pool.agg(F.count("*")).scalar()
     key = F.concat_ws("/", F.col("id"), F.col("perm"))
     runs = (rows.select("id", F.col("vec").alias("x"))
             .withColumn("perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
-            .withColumn("_p", pool)
-            .withColumn("b", F.col("_p")[F.floor(uniform(key, "bg") * F.size("_p")).cast("int")]["vec"])
-            .drop("_p")
+            .withColumn("_draw", (F.floor(uniform(key, "bg") * total) + 1).cast("bigint"))
+            .join(pool, "_draw").drop("_draw")
             .withColumn("order", F.transform(F.array_sort(F.array(*[
                 F.struct(uniform(key, f"f{i}").alias("u"), F.lit(i).alias("i"))
                 for i in range(d)])), lambda s: s["i"])))
@@ -256,18 +268,23 @@ def shapley_contributions(rows: DataFrame, background: DataFrame, names: list[st
     gains = F.array(
         F.struct((F.col("step") - 1).alias("pos"), F.col("score").alias("g")),
         F.struct(F.col("step").alias("pos"), (-F.col("score")).alias("g")))
-    parts = scored.select("id", "order", F.explode(gains).alias("_g")).where(
-        F.col("_g.pos").between(0, d - 1))
+    parts = scored.select("id", "order", F.explode(gains).alias("_g"),
+                          F.when(F.col("step") == 0, F.col("score")).alias("_base"))
     name_of = F.array(*[F.lit(n) for n in names])
-    return parts.groupBy("id", name_of[F.col("order")[F.col("_g.pos")]].alias("feature")).agg(
-        (F.sum("_g.g") / F.lit(float(permutations))).alias("contribution"))
-
-
-def importance_ranking(contributions: DataFrame, top: int = 10) -> DataFrame:
-    """(feature, importance): mean absolute contribution, largest first."""
-    return (contributions.groupBy("feature")
-            .agg(F.avg(F.abs(F.col("contribution"))).alias("importance"))
-            .orderBy(F.desc("importance"), "feature").limit(top))
+    feature = F.when(F.col("_g.pos").between(0, d - 1), name_of[F.col("order")[F.col("_g.pos")]])
+    # The first step's outer gain has no feature; its row carries the drawn row's score.
+    sums = parts.groupBy("id", feature.alias("feature")).agg(
+        (F.sum("_g.g") / F.lit(float(permutations))).alias("contribution"), F.avg("_base").alias("base"))
+    bases = sums.where("feature IS NULL").select("id", "base")
+    return sums.where("feature IS NOT NULL").drop("base").join(bases, "id")
+
+
+def importance_ranking(contributions: DataFrame, top: int | None = None) -> DataFrame:
+    """(feature, importance): mean absolute contribution, largest first; all features without `top`."""
+    ranked = (contributions.groupBy("feature")
+              .agg(F.avg(F.abs(F.col("contribution"))).alias("importance"))
+              .orderBy(F.desc("importance"), "feature"))
+    return ranked if top is None else ranked.limit(top)
 
 
 # -- rules, evaluation, result rows -----------------------------------------------------------

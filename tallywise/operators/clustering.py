@@ -9,7 +9,9 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+from pyspark.errors import PySparkException
 from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +25,11 @@ from .neighbours import dbscan
 from .relational import best_by
 
 NOISE = -1
-MAX_CENTERS = 2_000
+#: Centres compared with each other in one task, on either side.
+CENTER_BLOCK = 512
+#: Dimensions in which density clusters are looked for; wider vectors are projected first.
+GRID_DIMS = 3
+MAX_ITER = 300
 
 
 def _ml(df: DataFrame) -> DataFrame:
@@ -42,18 +48,18 @@ def side_by_side(tasks: list, workers: int = 8) -> list:
         return pool.map(run, tasks)
 
 
-def fit_kmeans(data: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = 20):
+def fit_kmeans(data: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = MAX_ITER):
     """The cheapest of several k-means fits."""
     fit = lambda s: KMeans(k=k, seed=s, maxIter=max_iter).fit(data)
     models = side_by_side([lambda s=seed + i: fit(s) for i in range(restarts)])
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def kmeans(df: DataFrame, k: int, restarts: int = 10, seed: int = 42) -> DataFrame:
+def kmeans(df: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = MAX_ITER) -> DataFrame:
     """(id, cluster_id) of the cheapest k-means fit."""
     data = _held(df)
     try:
-        model = fit_kmeans(data, k, restarts, seed)
+        model = fit_kmeans(data, k, restarts, seed, max_iter)
     finally:
         data.unpersist()
     return model.transform(_ml(df)).select("id", F.col("prediction").alias("cluster_id"))
@@ -85,11 +91,11 @@ def kmeans_fixed_init(df: DataFrame, centroids: list[list[float]], steps: int) -
 
 
 def choose_k(df: DataFrame, n: int, max_k: int = 10, restarts: int = 10,
-             seed: int = 42) -> DataFrame:
+             seed: int = 42, max_iter: int = MAX_ITER) -> DataFrame:
     """(k, inertia, silhouette, is_best) for the k range of the elbow search."""
     data = _held(df)
     ks = range(2, min(max_k + 1, n // 2))
-    fit = lambda k, s: KMeans(k=k, seed=s, maxIter=20).fit(data)
+    fit = lambda k, s: KMeans(k=k, seed=s, maxIter=max_iter).fit(data)
     try:
         fits = side_by_side([lambda k=k, s=seed + i: (k, fit(k, s))
                              for k in ks for i in range(restarts)])
@@ -132,9 +138,8 @@ def distance_to_center(df: DataFrame, d: int) -> DataFrame:
 def cluster_metrics(df: DataFrame, d: int) -> DataFrame:
     """inertia, calinski_harabasz and davies_bouldin of a frame with vec and cluster_id.
 
-    Two passes: means per cluster, then distances to them. What remains is k rows, whose k*k
-    centre distances are compared in one small join; above MAX_CENTERS clusters (a density
-    method gone fine) davies_bouldin is NULL. Noise rows are left out.
+    Two passes: means per cluster, then distances to them. What remains is k rows, whose centre
+    distances are compared block by block, CENTER_BLOCK by CENTER_BLOCK. Noise rows are left out.
     """
     kept = df.where(F.col("cluster_id") != NOISE)
     spread = distance_to_center(kept, d).groupBy("cluster_id").agg(
@@ -147,11 +152,15 @@ def cluster_metrics(df: DataFrame, d: int) -> DataFrame:
     stats = per.withColumn("_all", overall.scalar()).agg(
         F.count("*").alias("k"), F.sum("size").alias("n"), F.sum("within").alias("inertia"),
         F.sum(F.col("size") * squared_distance(F.col("center"), F.col("_all"))).alias("between"))
-    few = per.withColumn("_k", per.agg(F.count("*")).scalar()).where(F.col("_k") <= MAX_CENTERS)
-    one = few.select(F.lit(1).alias("g"), F.col("cluster_id").alias("i"), F.col("center").alias("ci"),
-                     F.col("scatter").alias("si"))
-    two = one.toDF("g", "j", "cj", "sj")
-    worst = (one.join(two, "g").where("i <> j")
+    blocks = F.ceil(per.agg(F.count("*")).scalar() / F.lit(CENTER_BLOCK)).cast("int")
+    dealt = per.withColumn("_n", F.greatest(blocks, F.lit(1))).withColumn(
+        "_b", F.pmod(F.xxhash64("cluster_id"), F.col("_n")).cast("int"))
+    every = F.explode(F.sequence(F.lit(0), F.col("_n") - 1))
+    one = dealt.select(F.col("_b").alias("p"), every.alias("q"), F.col("cluster_id").alias("i"),
+                       F.col("center").alias("ci"), F.col("scatter").alias("si"))
+    two = dealt.select(every.alias("p"), F.col("_b").alias("q"), F.col("cluster_id").alias("j"),
+                       F.col("center").alias("cj"), F.col("scatter").alias("sj"))
+    worst = (one.join(two, ["p", "q"]).where("i <> j")
              .groupBy("i").agg(F.max(F.try_divide(
                  F.col("si") + F.col("sj"), euclidean(F.col("ci"), F.col("cj")))).alias("r")))
     return stats.select(
@@ -170,27 +179,48 @@ def silhouette(df: DataFrame) -> float | None:
     return float(ClusteringEvaluator().evaluate(kept))
 
 
-def compare_methods(df: DataFrame, d: int, k: int = 5, eps: float = 0.5,
-                    min_samples: int = 5, restarts: int = 3) -> tuple[DataFrame, DataFrame, str]:
-    """Run the methods, tolerate failures: (labels by method, metrics, best method)."""
+def grid_vectors(df: DataFrame, d: int) -> tuple[DataFrame, int]:
+    """(id, vec) in at most GRID_DIMS dimensions: the first principal components of wider vectors."""
+    if d <= GRID_DIMS:
+        return df, d
+    data = _ml(df)
+    model = PCA(k=GRID_DIMS, inputCol="features", outputCol="pc").fit(data)
+    return model.transform(data).select("id", vector_to_array("pc").alias("vec")), GRID_DIMS
+
+
+def grid_dbscan(df: DataFrame, d: int, eps: float, min_samples: int) -> DataFrame:
+    flat, m = grid_vectors(df, d)
+    return dbscan(flat, "id", eps, m, min_samples)
+
+
+def compare_methods(df: DataFrame, d: int, k: int = 5, eps: float = 0.5, min_samples: int = 5,
+                    restarts: int = 10) -> tuple[DataFrame, DataFrame, str]:
+    """Run all methods: (labels by method, metrics, best method).
+
+    Labels carry the distance to the centre and, for soft clusters, the probability. A method
+    that Spark cannot run on the data has its error beside its name; faults of the program itself
+    are raised.
+    """
     runs = {"kmeans": lambda: kmeans(df, k, restarts), "hierarchical": lambda: bisecting_kmeans(df, k),
-            "gaussian_mixture": lambda: gaussian_mixture(df, k)}
-    if d <= 4:
-        runs["dbscan"] = lambda: dbscan(df, "id", eps, d, min_samples)
+            "gaussian_mixture": lambda: gaussian_mixture(df, k),
+            "dbscan": lambda: grid_dbscan(df, d, eps, min_samples)}
     labels, rows = None, []
     for method, run in runs.items():
         try:
-            found = run().select("id", "cluster_id")
-            scored = df.join(found, "id").persist(StorageLevel.MEMORY_AND_DISK)
+            found = run()
+            if "cluster_probability" not in found.columns:
+                found = found.withColumn("cluster_probability", F.lit(None).cast("double"))
+            scored = cut_lineage(df.select("id", "vec").join(
+                found.select("id", "cluster_id", "cluster_probability"), "id"))
             m = cluster_metrics(scored, d).first()
             rows.append((method, int(m["n_clusters"]), silhouette(scored), m["inertia"],
                          m["calinski_harabasz"], m["davies_bouldin"], None))
-            scored.unpersist()
-        except Exception as error:  # a method that cannot run must not stop the others
-            rows.append((method, None, None, None, None, None, str(error)[:200]))
+        except (PySparkException, ValueError) as error:
+            rows.append((method, None, None, None, None, None, str(error)))
             continue
-        found = found.select("id", F.col("cluster_id").cast("bigint").alias("cluster_id"),
-                             F.lit(method).alias("cluster_method"))
+        found = distance_to_center(scored, d).select(
+            "id", F.col("cluster_id").cast("bigint").alias("cluster_id"), F.lit(method).alias("cluster_method"),
+            "distance_to_center", "cluster_probability")
         labels = found if labels is None else labels.unionByName(found)
     metrics = df.sparkSession.createDataFrame(
         rows, "cluster_method string, n_clusters int, silhouette double, inertia double, "

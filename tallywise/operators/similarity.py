@@ -6,6 +6,8 @@ the k best per query only.
 
 from __future__ import annotations
 
+import math
+
 
 import numpy as np
 import pandas as pd
@@ -20,6 +22,8 @@ from .relational import rank_within
 
 COSINE, EUCLIDEAN = "cosine", "euclidean"
 _DIGITS = 12  # distances are ordered after rounding, so that equal vectors tie by id
+#: Pairs recomputed, and queries compared with a block, in one array.
+_AT_ONCE, _QUERIES_AT_ONCE = 1 << 18, 512
 
 
 def _distances(q: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
@@ -30,24 +34,34 @@ def _distances(q: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
         return np.round(1.0 - cos, _DIGITS)
     gap = (q * q).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (q @ b.T)
     # The product form cancels for close vectors; recompute those differences directly.
-    near = np.argwhere(gap < 1e-6 * (1.0 + (q * q).sum(1))[:, None])
+    i, j = np.nonzero(gap < 1e-6 * (1.0 + (q * q).sum(1))[:, None])
     dist = np.sqrt(np.maximum(gap, 0.0))
-    for i, j in near:
-        dist[i, j] = np.linalg.norm(q[i] - b[j])
+    for at in range(0, len(i), _AT_ONCE):
+        a, c = i[at:at + _AT_ONCE], j[at:at + _AT_ONCE]
+        apart = q[a] - b[c]
+        dist[a, c] = np.sqrt(np.einsum("nd,nd->n", apart, apart))
     return np.round(dist, _DIGITS)
 
 
 def _k_best(q_ids, q_vecs, b_ids, b_vecs, k: int, metric: str) -> pd.DataFrame:
     """The k nearest of the block for every query, a query never finding itself."""
-    dist = _distances(q_vecs, b_vecs, metric)
-    dist[q_ids[:, None] == b_ids[None, :]] = np.inf
     by_id = np.argsort(b_ids, kind="stable")
-    order = by_id[np.argsort(dist[:, by_id], axis=1, kind="stable")[:, :k]]
-    rows = np.repeat(np.arange(len(q_ids)), order.shape[1])
-    cols = order.ravel()
-    out = pd.DataFrame({"query_id": q_ids[rows], "similar_id": b_ids[cols],
-                        "distance": dist[rows, cols]})
-    return out[np.isfinite(out["distance"])]
+    b_ids, b_vecs = b_ids[by_id], b_vecs[by_id]
+    found = []
+    for at in range(0, len(q_ids), _QUERIES_AT_ONCE):
+        ids = q_ids[at:at + _QUERIES_AT_ONCE]
+        dist = _distances(q_vecs[at:at + _QUERIES_AT_ONCE], b_vecs, metric)
+        dist[ids[:, None] == b_ids[None, :]] = np.inf
+        last = min(k, len(b_ids)) - 1
+        # All that are no farther than the k-th, ties included; the smaller id wins among them.
+        row, col = np.nonzero(dist <= np.partition(dist, last, axis=1)[:, last, None])
+        order = np.lexsort((col, dist[row, col], row))
+        row, col = row[order], col[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        keep = (place < k) & np.isfinite(dist[row, col])
+        row, col = row[keep], col[keep]
+        found.append(pd.DataFrame({"query_id": ids[row], "similar_id": b_ids[col], "distance": dist[row, col]}))
+    return pd.concat(found) if found else pd.DataFrame({"query_id": [], "similar_id": [], "distance": []})
 
 
 def _stack(vecs) -> np.ndarray:
@@ -151,13 +165,17 @@ def hash_buckets(df: DataFrame, d: int, tables: int = 4, bits: int = 8,
     return df.select("id", "vec", F.explode(F.array(*names)).alias("g"))
 
 
-def knn_lsh(df: DataFrame, d: int, k: int = 10, metric: str = COSINE, tables: int = 4,
-            bits: int = 8, block_rows: int = 5_000) -> DataFrame:
+def knn_lsh(df: DataFrame, d: int, k: int = 10, metric: str = COSINE, tables: int = 12,
+            bits: int | None = None, block_rows: int = 5_000, bucket_rows: int = 200) -> DataFrame:
     """Approximate neighbours of every row: exact search within shared hash buckets.
 
-    More bits make buckets smaller, more tables raise the recall. A crowded bucket is searched
-    block by block, completely; equal vectors are found through their bucket like any others.
+    More bits make buckets smaller, more tables raise the recall. Without `bits` there are as many
+    as give buckets of about `bucket_rows` rows, so that the work grows in proportion to the rows.
+    A crowded bucket is searched block by block, completely; equal vectors are found through their
+    bucket like any others.
     """
+    if bits is None:
+        bits = max(1, round(math.log2(max(2.0, df.count() / bucket_rows))))
     bucketed = cut_lineage(hash_buckets(df.select("id", "vec"), d, tables, bits))
     hits = _knn_blocks(bucketed, bucketed, ["g"], k, metric, block_rows).distinct()
     return _with_rank(hits, k, metric)

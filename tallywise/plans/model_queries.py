@@ -308,7 +308,7 @@ group by feature order by importance desc, feature limit 10"""
 
 @query("k6b_importance_ranking", S.with_("feats", _IMPORTANCE, extra=_CONTRIB_SQL))
 def importance_ranking(spark, d):
-    return rounded(an.importance_ranking(contributions(spark, d)))
+    return rounded(an.importance_ranking(contributions(spark, d), 10))
 
 
 @query("f4_top_features", S.with_("feats", """

@@ -46,7 +46,7 @@ USERS = f"""users as (
     cast(2024 - (18 + (c_custkey * 37) % 63) as int) as birth_year,
     cast(date '2024-01-01' - cast(180 + (c_custkey * 131) % 1645 as int) as date) as registration_date,
     province, city, c_mktsegment as preferred_card_type, {device('c_custkey')} as primary_device
-  from customer join places on c_nationkey = n_nationkey)"""
+  from customer left join places on c_nationkey = n_nationkey)"""
 
 TX = f"""tx as (
   select event_id as transaction_id, user_id, value as amount, cast(ts as date) as transaction_date,
@@ -54,7 +54,7 @@ TX = f"""tx as (
     {device('k')} as device_type, isodow(ts) = 5 as is_weekend, cast(hour(ts) as int) as hour_of_day,
     cast(day(ts) as int) as day_of_month
   from (select *, cast(json_extract_string(props, '$.k') as int) as k from events)
-  join places on k % 25 = n_nationkey)"""
+  left join places on k % 25 = n_nationkey)"""
 
 
 def labelled(factor: float = 2.0) -> str:

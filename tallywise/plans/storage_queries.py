@@ -37,10 +37,12 @@ def replace_by_method(spark, d):
     path = work_path(spark, "clusters")
     rows = vectors(spark, d).select(F.col("vec_id").alias("user_id"), F.col("label").alias("cluster_id"))
     as_method = lambda df, m: df.withColumn("cluster_method", F.lit(m))
-    sinks.replace_by_method(as_method(rows, "kmeans"), path, "cluster_method")
-    sinks.replace_by_method(as_method(rows, "dbscan"), path, "cluster_method")
+    put = lambda df, *methods: sinks.replace_by_method(df, path, "cluster_method", list(methods))
+    put(as_method(rows, "kmeans"), "kmeans")
+    put(as_method(rows, "dbscan").unionByName(as_method(rows, "mixture")), "dbscan", "mixture")
     coarser = rows.withColumn("cluster_id", F.col("cluster_id") % 3)
-    sinks.replace_by_method(as_method(coarser, "dbscan"), path, "cluster_method")
+    put(as_method(coarser, "dbscan"), "dbscan")
+    put(as_method(rows.where("false"), "mixture"), "mixture")
     return spark.read.parquet(path)
 
 
@@ -53,6 +55,30 @@ def append_transactions(spark, d):
     return spark.read.parquet(path)
 
 
+@query("a6_upsert_sequence", S.with_("users", """
+select user_id, age, last_value from (
+  select user_id, cast(age as int) as age, cast(3 as int) as last_value from users where user_id % 2 = 0
+  union all select user_id, cast(age as int), 0 from users where user_id % 2 = 1)"""))
+def upsert_sequence(spark, d):
+    """Three writes of each even user in one batch, the largest value not last."""
+    stored = users(spark, d).select("user_id", "age", F.lit(0).alias("last_value"))
+    writes = stored.where("user_id % 2 = 0").withColumn("at", F.explode(F.array(*map(F.lit, (2, 1, 3))))).withColumn(
+        "last_value", F.when(F.col("at") == 3, 3).otherwise(F.lit(10) - F.col("at")))
+    return sinks.upsert(stored, writes, ["user_id"], "at")
+
+
+@query("a8_append_continues", S.with_("tx", """
+select user_id, transaction_date, transaction_time, row_number() over (
+  order by is_weekend, user_id, transaction_date, transaction_time) as transaction_id from tx"""))
+def append_continues(spark, d):
+    """Two appends without ids: the second goes on where the first ended."""
+    path = work_path(spark, "continued")
+    for part in ("not is_weekend", "is_weekend"):
+        sinks.append_transactions(
+            tx(spark, d).where(part).select("user_id", "transaction_date", "transaction_time"), path)
+    return spark.read.parquet(path).drop("is_noise", "noise_type")
+
+
 @query("a8_surrogate_keys", S.with_("tx", """
 select user_id, transaction_date, transaction_time, row_number() over (
   order by user_id, transaction_date, transaction_time) + 1000 as transaction_id from tx"""))

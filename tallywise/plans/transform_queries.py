@@ -145,10 +145,18 @@ def anova(spark, d):
     return rounded(scores.orderBy(F.desc("f_score"), "feature").limit(20))
 
 
-@query("i9_selected_columns")
+@query("i9_selected_columns", f"""with {LONG}, pc as (select feature, label, count(*) as n, avg(v) as m,
+  var_pop(v) * count(*) as w from long group by feature, label),
+gm as (select feature, avg(v) as g, count(*) as total from long group by feature),
+top as (select feature, (sum(pc.n * (m - g) ^ 2) / (count(*) - 1)) / (sum(w) / (any_value(total) - count(*))) as f_score
+  from pc join gm using (feature) group by feature order by f_score desc, feature limit 20)
+select vec_id, label, feature, v as value from long join top using (feature)""")
 def selected_columns(spark, d):
+    """The columns kept, as rows: their names depend on the data."""
     df = embedding_columns(spark, d)
-    return t.select_k_best(df, t.anova_scores(df, "label", DIMS), "f_score", "label", 20, ("vec_id",))
+    kept = t.select_k_best(df, t.anova_scores(df, "label", DIMS), "f_score", "label", 20, ("vec_id",))
+    names = [c for c in kept.columns if c not in ("vec_id", "label")]
+    return kept.unpivot(["vec_id", "label"], names, "feature", "value")
 
 
 @query("i10_select_k_mutual_info", f"""with {LONG}, cuts as (select feature, quantile_cont(v,
@@ -165,10 +173,23 @@ def mutual_info(spark, d):
     return rounded(scores.orderBy(F.desc("mi"), "feature").limit(20))
 
 
-@query("i11_pca_reduce")
+@query("i11_pca_reduce", f"""with {LONG},
+m as (select feature, avg(v) as m from long group by feature)
+select vec_id, round(sqrt(sum((v - m) ^ 2)), 6) as length, true as keeps_enough, true as none_too_many, true as is_shorter
+from long join m using (feature) group by vec_id""")
 def pca_reduce(spark, d):
+    """Each row's length before; that it is no longer after, and that no fewer components would do."""
     df = embedding_columns(spark, d).drop("label")
-    return t.pca_reduce(df, DIMS, variance_threshold=0.95, keys=("vec_id",))
+    scores = t.pca_reduce(df, DIMS, variance_threshold=0.95, keys=("vec_id",))
+    axes = [c for c in scores.columns if c != "vec_id"]
+    var = scores.agg(*[F.var_samp(c).alias(c) for c in axes]).first()
+    total = df.agg(sum((F.var_samp(c) for c in DIMS), F.lit(0.0)).alias("t"), *[F.avg(c).alias(c) for c in DIMS]).first()
+    before = F.sqrt(sum(((F.col(c) - F.lit(total[c])) ** 2 for c in DIMS), F.lit(0.0)))
+    after = F.sqrt(sum((F.col(c) ** 2 for c in axes), F.lit(0.0)))
+    shares = [v / total["t"] for v in var]
+    return rounded(df.select("vec_id", before.alias("length")).join(scores, "vec_id").select(
+        "vec_id", "length", F.lit(sum(shares) >= 0.95 - 1e-9).alias("keeps_enough"),
+        F.lit(sum(shares[:-1]) < 0.95).alias("none_too_many"), (after <= F.col("length") + 1e-9).alias("is_shorter")))
 
 
 @query("i12_interaction_features", S.with_("feats", """

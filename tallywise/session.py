@@ -55,9 +55,22 @@ def cut_lineage(df):
     return stored
 
 
+def _located(spark: SparkSession, folder: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    system, path = _located(spark, folder)
+    return system.exists(path)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    system, path = _located(spark, folder)
+    system.delete(path, True)
+
+
 def release(*stored) -> None:
     """Delete the tables behind frames that `cut_lineage` returned, once nothing reads them any more."""
     for df in stored:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df.work_table)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, df.work_table)

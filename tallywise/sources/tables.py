@@ -32,7 +32,7 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("c_custkey")
     age = (F.lit(C.AGE_MIN) + (key * 37) % 63).cast("int")
     return (read_table(spark, folder, "customer")
-            .join(_places(spark, folder), F.col("c_nationkey") == F.col("n_nationkey"))
+            .join(_places(spark, folder), F.col("c_nationkey") == F.col("n_nationkey"), "left")
             .select(
                 key.alias("user_id"), age.alias("age"),
                 (F.lit(C.REFERENCE_YEAR) - age).cast("int").alias("birth_year"),
@@ -47,7 +47,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     date = F.col("ts").cast("date")
     return (read_table(spark, folder, "events").withColumn("_k", k)
-            .join(_places(spark, folder), F.col("_k") % 25 == F.col("n_nationkey"))
+            .join(_places(spark, folder), F.col("_k") % 25 == F.col("n_nationkey"), "left")
             .select(
                 F.col("event_id").alias("transaction_id"), "user_id",
                 F.col("value").alias("amount"), date.alias("transaction_date"),
