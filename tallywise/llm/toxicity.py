@@ -1,10 +1,12 @@
 """Toxicity scores by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
 Each coordinate has its own learning rate, and the L1 term keeps weights at exactly zero until
-their evidence exceeds it, so the weights are a short list. Shards of the labelled rows learn side
-by side, start each round from the mean of all shards' weights, and the last mean is the model.
+their evidence exceeds it, so the weights are a short list. Each step of the method needs the one
+before, so one learner reads the rows of the fit, whose number is bounded; features are hashed side
+by side before, and scoring is spread over all rows. (Averaging the weights of four learners, each
+with a quarter of the rows, was tried: held-out AUC at sf0.1 fell from 0.98 to 0.83-0.94.)
 
-Edge cases: a null or empty text has the bias alone. Without any labelled row every score is 0.
+Edge cases: a null or empty text has the share of toxic rows alone as its score. Without any labelled row every score is 0.
 Labelled rows with a null label or null text teach nothing; where labels repeat a doc_id the
 largest label counts. Texts are read whole.
 """
@@ -20,30 +22,27 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywise.session import cut_lineage
+from tallywise.session import cut_lineage, release
 
 BITS = 20
-BIAS = 0
 THRESHOLD = 0.3
 #: Bound of the fit: labelled rows, drawn by a hash of their id.
-FIT_ROWS = 24_000
-SHARDS = 4
-ROUNDS = 2
-EPOCHS = 2
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 1.0
+FIT_ROWS = 16_000
+EPOCHS = 3
+ALPHA, BETA, L1, L2 = 2.0, 1.0, 4.0, 1.0
 WORD = re.compile(r"\w+")
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    """Weights by bucket, zero for most; `fitted` is False when there was nothing to learn from."""
+    """Weights by bucket, zero for most; `base`: log-odds of the label, None if nothing was learned."""
 
     weights: np.ndarray
-    fitted: bool
+    base: float | None
 
 
 def features(text: str | None) -> np.ndarray:
-    """Sorted distinct buckets of the words, word pairs and pairs that skip one word, with the bias."""
+    """Sorted distinct buckets of the words, word pairs and pairs that skip one word."""
     words = WORD.findall((text or "").lower())
     h = np.fromiter((zlib.crc32(w.encode("utf-8", "replace")) for w in words), np.uint64, len(words))
     mixed = [h * np.uint64(0x9E3779B97F4A7C15)]
@@ -51,8 +50,8 @@ def features(text: str | None) -> np.ndarray:
         if len(h) > gap:
             mixed.append((h[:-gap] * np.uint64(0x9E3779B97F4A7C15) ^ (h[gap:] + np.uint64(gap)))
                          * np.uint64(salt))
-    buckets = (np.concatenate(mixed) >> np.uint64(64 - BITS)).astype(np.int64)
-    return np.unique(np.append(buckets, BIAS))
+    buckets = (np.concatenate(mixed) >> np.uint64(64 - BITS)).astype(np.int32)
+    return np.unique(buckets)
 
 
 def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -60,36 +59,35 @@ def _weights(z: np.ndarray, n: np.ndarray) -> np.ndarray:
     return -shrunk / ((BETA + np.sqrt(n)) / ALPHA + L2)
 
 
-def learn(rows: list[tuple[np.ndarray, int]], z: np.ndarray, n: np.ndarray) -> None:
+def _logistic(margin: float) -> float:
+    return float(1 / (1 + np.exp(-np.clip(margin, -35, 35))))
+
+
+def learn(rows: list[tuple[np.ndarray, int]], base: float, z: np.ndarray, n: np.ndarray) -> None:
     """One pass of FTRL-proximal over (buckets, label); `z` and `n` are changed in place."""
     for at, label in rows:
         w = _weights(z[at], n[at])
-        p = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35)))
-        g = p - label
+        g = _logistic(base + w.sum()) - label
         rate = (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / ALPHA
         z[at] += g - rate * w
         n[at] += g * g
 
 
-def _train(start: np.ndarray):
+def _features(texts: pa.Array) -> pa.Array:
+    return pa.array([features(t) for t in texts.to_pylist()], pa.list_(pa.int32()))
+
+
+def _train(base: float):
     def train(batches):
-        rows, order = [], []
-        for batch in batches:
-            for doc, text, label in zip(*(c.to_pylist() for c in batch.columns)):
-                rows.append((features(text), label))
-                order.append(zlib.crc32(str(doc).encode()))
-        if not rows:
-            return
-        rows = [rows[k] for k in np.argsort(order, kind="stable")]
-        n = np.zeros(1 << BITS)
-        # z that reproduces the given weights at n = 0.
-        z = -start * (BETA / ALPHA + L2) - np.sign(start) * L1
+        """The one learner; rows come in the order of their hash."""
+        rows = [(at, label) for batch in batches
+                for at, label in zip(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist())]
+        z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
         for _ in range(EPOCHS):
-            learn(rows, z, n)
+            learn(rows, base, z, n)
         w = _weights(z, n)
         at = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(w[at])], ["bucket", "weight"])
-        yield pa.RecordBatch.from_arrays([pa.array([-1]), pa.array([1.0])], ["bucket", "weight"])
     return train
 
 
@@ -104,36 +102,37 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Toxicit
     # At most about fit_rows pairs of numbers: a proven size.
     texts = (docs.where("text IS NOT NULL").select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
              .select("doc_id", "text", "toxic"))
-    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).cast("int")
-    sample = cut_lineage(texts.repartitionByRange(SHARDS, shard))
-    weights, fitted = np.zeros(1 << BITS), False
-    for _ in range(ROUNDS):
-        parts = (sample.repartition(SHARDS, shard).mapInArrow(_train(weights), "bucket long, weight double")
-                 .groupBy("bucket").agg(F.sum("weight").alias("weight")).collect())  # 2^BITS rows at most
-        sums = {r.bucket: r.weight for r in parts}
-        if -1 not in sums:
-            break
-        learners, fitted = sums.pop(-1), True
-        weights = np.zeros(1 << BITS)
-        at = np.fromiter(sums.keys(), np.int64, len(sums))
-        weights[at] = np.fromiter(sums.values(), np.float64, len(sums)) / learners
-    return ToxicityModel(weights, fitted)
+    hashed = cut_lineage(texts.select(F.arrow_udf(_features, "array<int>")("text").alias("features"), "toxic",
+                                      F.xxhash64("doc_id", F.lit("order")).alias("order"), "doc_id"))
+    rows, toxic = hashed.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if not rows:
+        release(hashed)
+        return ToxicityModel(np.zeros(1 << BITS), None)
+    base = float(np.log((toxic + 0.5) / (rows - toxic + 0.5)))
+    learned = (hashed.repartition(1).sortWithinPartitions("order", "doc_id", "features").select("features", "toxic")
+               .mapInArrow(_train(base), "bucket long, weight double").collect())  # the nonzero weights
+    release(hashed)
+    weights = np.zeros(1 << BITS)
+    for row in learned:
+        weights[row.bucket] = row.weight
+    return ToxicityModel(weights, base)
 
 
 def with_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """`docs` with the double `toxicity` from 0 to 1."""
     at = np.flatnonzero(model.weights)
-    sparse = docs.sparkSession.sparkContext.broadcast((at, model.weights[at], model.fitted))
+    sparse = docs.sparkSession.sparkContext.broadcast((at, model.weights[at], model.base))
     dense: list[np.ndarray] = []
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        buckets, values, fitted = sparse.value
+        buckets, values, base = sparse.value
         if not dense:
             dense.append(np.zeros(1 << BITS))
             dense[0][buckets] = values
         w = dense[0]
-        return pa.array([float(1 / (1 + np.exp(-np.clip(w[features(t)].sum(), -35, 35)))) if fitted else 0.0
-                         for t in texts.to_pylist()], pa.float64())
+        if base is None:
+            return pa.array([0.0] * len(texts), pa.float64())
+        return pa.array([_logistic(base + w[features(t)].sum()) for t in texts.to_pylist()], pa.float64())
 
     return docs.withColumn("toxicity", score("text"))
