@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from ..functions.vectors import squared_distance
 from ..session import cut_lineage
 
+#: Most dimensions of a grid whose cells look at all their neighbours.
+GRID_DIMS = 4
+
 
 def sites(points: DataFrame, id_col: str, vec: str = "vec") -> DataFrame:
     """(site, vec, weight): distinct vectors named by their smallest member id."""
@@ -100,8 +103,11 @@ def density_score(points: DataFrame, id_col: str, radius: float, d: int, k: int
     NULL and sparse when there are fewer than k. Cells get finer where points are denser: a site
     searches at the finest level whose own cell holds more than k points, because the k-th
     neighbour then lies within that cell's diagonal. At most 2^d * k sites of one cell stay at a
-    level, so the candidates stay linear in the number of sites however dense a spot is.
+    level, so the candidates stay linear in the number of sites however dense a spot is. Cells have
+    neighbours in every dimension, so at most GRID_DIMS of them are allowed; project wider vectors.
     """
+    if d > GRID_DIMS:
+        raise ValueError(f"density scores need at most {GRID_DIMS} dimensions; project first")
     all_sites = cut_lineage(sites(points, id_col, vec))
     root = math.sqrt(d)
     dims = list(range(d))
@@ -237,8 +243,8 @@ def dbscan(points: DataFrame, id_col: str, eps: float, d: int, min_samples: int
     have the diagonal eps, so all points of a cell are neighbours: a cell with min_samples points
     is core without any distance, and only the few points of thinner cells look around.
     """
-    if d > 4:
-        raise ValueError("grid clusters need at most 4 dimensions; project first")
+    if d > GRID_DIMS:
+        raise ValueError(f"grid clusters need at most {GRID_DIMS} dimensions; project first")
     dims, side = list(range(d)), eps / math.sqrt(d) * (1.0 - 1e-12)
     located = cut_lineage(sites(points, id_col, vec).withColumn(
         "cell", cell_of(F.col("vec"), dims, side)))

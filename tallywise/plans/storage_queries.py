@@ -214,12 +214,12 @@ def stage_completeness(spark, d):
 @query("p4_idempotent_batch_write", S.with_("tx", f"select {', '.join(_TX)} from tx"))
 def idempotent_batch_write(spark, d):
     source, state = _files(spark, d, "chunks"), work_path(spark, "batches")
-    stream = lambda: spark.readStream.schema(tx(spark, d).schema).option(
-        "maxFilesPerTrigger", 1).parquet(source)
-    # A second run with a fresh checkpoint replays every batch onto the same partitions.
-    for run in ("/first", "/replay"):
-        jobs.idempotent_batches(stream(), state + "/table", state + run)
-    return spark.read.parquet(state + "/table").drop("batch_id")
+    stream = lambda files: spark.readStream.schema(tx(spark, d).schema).option(
+        "maxFilesPerTrigger", files).parquet(source)
+    # A second run with a fresh checkpoint and larger batches replays every file onto its partition.
+    for run, files in (("/first", 1), ("/replay", 2)):
+        jobs.idempotent_batches(stream(files), state + "/table", state + run)
+    return spark.read.parquet(state + "/table").drop("source_file")
 
 
 _RULES = ["rule_location", "rule_age_amount", "rule_time", "rule_amount", "rule_noise_type"]

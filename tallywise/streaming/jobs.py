@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.anomaly import rule_flags
 from ..operators.features import missing_features, user_features
 from ..operators.synth import with_user_age
+from ..session import cut_lineage, delete, exists, release
 from ..sources.sinks import write_partitions
 
 
@@ -28,36 +29,66 @@ def _run(writer) -> None:
 
 
 def idempotent_batches(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Write every micro-batch to its own `batch_id` partition; a replay replaces it."""
+    """Write the rows of every source file to its own `source_file` partition.
+
+    A file is never split between micro-batches, so a replay replaces what it wrote whatever the
+    batch limits and the order of arrival. `stream` reads files.
+    """
+    named = stream.select("*", F.col("_metadata.file_name").alias("source_file"))
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_partitions(batch.withColumn("batch_id", F.lit(batch_id)), path, ["batch_id"])
+        write_partitions(batch, path, ["source_file"])
 
-    _run(stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
+    _run(named.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 
 
 def refresh_features(spark: SparkSession, stream: DataFrame, users: DataFrame, history_path: str,
                      features_path: str, checkpoint: str, buckets: int = 16) -> None:
     """Pick up new transaction files, extend the history and refresh the touched users.
 
-    Both tables are safe to replay: a history partition is named by the batch, and features are
-    written as one version per batch from which `current_features` takes the newest row.
+    Users fall into `buckets` by hash; a batch reads and writes the folders of its users' buckets
+    only. Both tables are safe to replay: a history folder is named by bucket and batch, and a
+    batch writes a new version of each touched bucket, whole, from the version before it. Versions
+    before that one are deleted. Choose `buckets` so that the history of one fits a few tasks.
     """
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        write_partitions(batch.withColumn("batch_id", F.lit(batch_id)), history_path, ["batch_id"])
-        touched = batch.select("user_id").distinct()
-        history = spark.read.parquet(history_path).where(F.col("batch_id") <= batch_id)
+        batch = batch.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
+        touched = cut_lineage(batch.select("user_id", "bucket").distinct())
+        mine = [r[0] for r in touched.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        if not mine:
+            release(touched)
+            return
+        write_partitions(batch.withColumn("batch_id", F.lit(batch_id)), history_path, ["bucket", "batch_id"])
+        history = spark.read.parquet(history_path).where(
+            F.col("bucket").isin(mine) & (F.col("batch_id") <= batch_id))
         rows = user_features(users.join(touched, "user_id", "left_semi"),
-                             history.drop("batch_id").join(touched, "user_id", "left_semi"))
-        write_partitions(rows.withColumn("batch_id", F.lit(batch_id)), features_path, ["batch_id"])
+                             history.drop("batch_id", "bucket").join(touched, "user_id", "left_semi"))
+        rows = rows.join(touched, "user_id")
+        versions = {}
+        if exists(spark, features_path):
+            old = spark.read.parquet(features_path).where(
+                F.col("bucket").isin(mine) & (F.col("batch_id") < batch_id))
+            versions = {r["bucket"]: r["v"] for r in old.groupBy("bucket").agg(F.max("batch_id").alias("v")).collect()}
+            rows = rows.unionByName(_newest(old).join(touched, "user_id", "left_anti"))
+        write_partitions(rows.withColumn("batch_id", F.lit(batch_id)), features_path, ["bucket", "batch_id"])
+        release(touched)
+        for bucket, version in versions.items():
+            past = spark.read.parquet(features_path).where(
+                (F.col("bucket") == bucket) & (F.col("batch_id") < version)).select("batch_id").distinct().collect()
+            for row in past:  # one, unless a run before this one stopped half-way
+                delete(spark, f"{features_path}/bucket={bucket}/batch_id={row[0]}")
 
     _run(stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint))
 
 
+def _newest(versions: DataFrame) -> DataFrame:
+    last = versions.groupBy("bucket").agg(F.max("batch_id").alias("batch_id"))
+    return versions.join(F.broadcast(last), ["bucket", "batch_id"]).drop("batch_id")  # a row per bucket
+
+
 def current_features(spark: SparkSession, features_path: str) -> DataFrame:
     """The newest feature row of every user."""
-    rows = spark.read.parquet(features_path)
-    newest = rows.groupBy("user_id").agg(F.max("batch_id").alias("batch_id"))
-    return rows.join(newest, ["user_id", "batch_id"]).drop("batch_id")
+    return _newest(spark.read.parquet(features_path)).drop("bucket")
 
 
 def stream_rule_flags(stream: DataFrame, users: DataFrame, path: str, checkpoint: str) -> None:

@@ -91,12 +91,34 @@ def test_replay_writes_the_same_rows_once(spark, folder):
     source, state = work_path(spark, "src"), work_path(spark, "out")
     t = tx(spark, folder)
     t.repartition(4).write.parquet(source)
-    stream = lambda: spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    for run in ("/a", "/b"):
-        jobs.idempotent_batches(stream(), state + "/t", state + run)
+    stream = lambda n: spark.readStream.schema(t.schema).option("maxFilesPerTrigger", n).parquet(source)
+    for run, files in (("/a", 1), ("/b", 3), ("/c", 2)):
+        jobs.idempotent_batches(stream(files), state + "/t", state + run)
     assert spark.read.parquet(state + "/t").count() == t.count()
-    jobs.idempotent_batches(stream(), state + "/t", state + "/a")  # nothing new: resumes at the end
-    assert spark.read.parquet(state + "/t").drop("batch_id").exceptAll(t).count() == 0
+    jobs.idempotent_batches(stream(1), state + "/t", state + "/a")  # nothing new: resumes at the end
+    assert spark.read.parquet(state + "/t").drop("source_file").exceptAll(t).count() == 0
+
+
+def test_a_batch_reads_its_own_buckets_only(spark, folder):
+    from tallywise.session import delete
+    source, state = work_path(spark, "arrive"), work_path(spark, "kept")
+    t, u = tx(spark, folder), users(spark, folder)
+    run = lambda: jobs.refresh_features(
+        spark, spark.readStream.schema(t.schema).parquet(source), u, state + "/h", state + "/f", state + "/c", 8)
+    t.write.parquet(source)
+    run()
+    before = {r["user_id"]: r["total_transactions"]
+              for r in jobs.current_features(spark, state + "/f").collect()}
+    one = t.limit(1)
+    user = one.first()["user_id"]
+    bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit(user).cast("long")), F.lit(8))).first()[0]
+    for other in set(range(8)) - {bucket}:  # without their history only a batch of this bucket can run
+        delete(spark, f"{state}/h/bucket={other}")
+    one.write.mode("append").parquet(source)
+    run()
+    after = {r["user_id"]: r["total_transactions"]
+             for r in jobs.current_features(spark, state + "/f").collect()}
+    assert after == before | {user: before[user] + 1}
 
 
 def test_stage_completeness_of_an_empty_target(spark):
