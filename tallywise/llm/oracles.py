@@ -74,19 +74,26 @@ FROM documents d LEFT JOIN done ON done.doc_id = d.doc_id
 UNITS = r"""
 WITH line AS (
   SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS k FROM (
-    SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)),
+    SELECT doc_id, string_split(regexp_replace(text, '([.!?])[ \t]', '\1' || chr(10), 'g'), chr(10)) AS ls
+    FROM documents WHERE text IS NOT NULL)),
 placed AS (
-  SELECT doc_id, k, line, (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY k) - length(line) - 1)::BIGINT
+  SELECT doc_id, line, (sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY k) - length(line) - 1)::BIGINT
          AS start FROM line),
 unit AS (
   SELECT doc_id, start, start + length(line) AS "end", regexp_replace(lower(trim(
     line, ' ' || chr(9) || chr(11) || chr(12) || chr(13))), '[ \t\r\x0b\x0c]+', ' ', 'g') AS words FROM placed),
-counted AS (SELECT *, (length(words) - length(replace(words, ' ', '')) + 1)::INTEGER AS n_words FROM unit),
+counted AS (SELECT *, length(words) - length(replace(words, ' ', '')) + 1 AS n FROM unit),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY start) AS unit FROM counted WHERE n >= 4),
 ranked AS (
   SELECT *, first_value(doc_id) OVER v AS first_doc_id, first_value(start) OVER v AS first_start,
          row_number() OVER v AS nth
-  FROM counted WHERE n_words >= 20 WINDOW v AS (PARTITION BY words ORDER BY doc_id, start))
-SELECT doc_id, start, "end", n_words, first_doc_id, first_start FROM ranked WHERE nth > 1
+  FROM numbered WINDOW v AS (PARTITION BY words ORDER BY doc_id, start)),
+parted AS (
+  SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run FROM ranked WHERE nth > 1)
+SELECT doc_id, min(start) AS start, max("end") AS "end", count(*) AS n_units, sum(n)::BIGINT AS n_words,
+       arg_min(first_doc_id, start) AS first_doc_id, arg_min(first_start, start) AS first_start
+FROM parted GROUP BY doc_id, run HAVING sum(n) >= 20
 """
 
 EMBEDDINGS = """

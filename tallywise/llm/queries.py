@@ -55,7 +55,7 @@ def op6_line_window_dedup(spark, folder) -> DataFrame:
 
 def op7_unit_dedup(spark, folder) -> DataFrame:
     return unit_dedup.repeated_units(table(spark, folder, "documents")).select(
-        "doc_id", "start", "end", "n_words", "first_doc_id", "first_start")
+        "doc_id", "start", "end", "n_units", "n_words", "first_doc_id", "first_start")
 
 
 def op8_multi_index_near_dedup(spark, folder) -> DataFrame:

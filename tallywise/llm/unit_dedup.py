@@ -1,9 +1,11 @@
-"""Substring dedup by line hashing: the earliest ranked occurrence of a passage stays.
+"""Substring dedup by unit hashing: the earliest ranked occurrence of a passage stays.
 
-A unit is a line of a text, normalised to small letters and single spaces. Units of at least
-`min_words` words are hashed to 128 bits and grouped over all documents; the earliest occurrence by
-(doc_id, text_key, start) stays, every other one is removed. Spans are code point offsets in the
-original text.
+A unit is a line of a text or a sentence in it, normalised to small letters and single spaces.
+Lines alone miss passages that stand within a line, so lines are parted at the blank behind a full
+stop, question or exclamation mark. Units of at least `MIN_UNIT_WORDS` words are hashed to 128 bits
+and grouped over all documents; the earliest occurrence by (doc_id, text_key, start) stays. Later
+ones are removed where they follow each other for `min_words` words or more; shorter units between
+two of them go along. Spans are code point offsets in the original text.
 
 Edge cases: null and empty texts have no units. Rows equal in doc_id and text share one rank: the
 earliest of them all keep the unit. A null doc_id ranks first. A unit that repeats within one text
@@ -16,58 +18,69 @@ import re
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallywise.session import cut_lineage
 
 from .common import as_long, on_row_key, with_row_key
 
-#: Shorter lines recur by nature (titles, licence lines) and stay.
+#: Shorter runs recur by nature (titles, licence lines) and stay.
 MIN_WORDS = 20
+MIN_UNIT_WORDS = 4
 BLANKS = " \t\r\x0b\x0c"
 BLANK_RUN = re.compile(f"[{BLANKS}]+")
-UNIT_TYPE = "doc_id long, text_key long, start long, end long, n_words int, high long, low long"
-
-
-def _units(min_words: int):
-    def units(batches):
-        for batch in batches:
-            rows = []
-            for doc, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                start = 0
-                for line in (text or "").split("\n"):
-                    end = start + len(line)
-                    # A line of n words has n - 1 blanks between them at least.
-                    if len(line) >= 2 * min_words - 1:
-                        words = BLANK_RUN.sub(" ", line.strip(BLANKS).lower())
-                        n = words.count(" ") + 1 if words else 0
-                        if n >= min_words:
-                            value = xxhash.xxh3_128_intdigest(words.encode("utf-8", "replace"))
-                            rows.append((doc, key, start, end, n, as_long(value >> 64),
-                                         as_long(value & (1 << 64) - 1)))
-                    start = end + 1
-            columns = list(zip(*rows)) if rows else [[]] * 7
-            kinds = [pa.int64()] * 4 + [pa.int32()] + [pa.int64()] * 2
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             ["doc_id", "text_key", "start", "end", "n_words", "high", "low"])
-    return units
+SENTENCE_END = re.compile(r"([.!?])[ \t]")
+UNIT_TYPE = ("doc_id long, text_key long, unit int, start long, end long, n_words int, "
+             "high long, low long")
+
+
+def _units(batches):
+    for batch in batches:
+        rows = []
+        for doc, key, text in zip(*(c.to_pylist() for c in batch.columns)):
+            start, unit = 0, 0
+            # One blank becomes one line break, so that offsets stay those of the text.
+            for line in SENTENCE_END.sub("\\1\n", text or "").split("\n"):
+                end = start + len(line)
+                # A line of n words has n - 1 blanks between them at least.
+                if len(line) >= 2 * MIN_UNIT_WORDS - 1:
+                    words = BLANK_RUN.sub(" ", line.strip(BLANKS).lower())
+                    n = words.count(" ") + 1
+                    if n >= MIN_UNIT_WORDS:
+                        value = xxhash.xxh3_128_intdigest(words.encode("utf-8", "replace"))
+                        rows.append((doc, key, unit, start, end, n, as_long(value >> 64),
+                                     as_long(value & (1 << 64) - 1)))
+                        unit += 1
+                start = end + 1
+        columns = list(zip(*rows)) if rows else [[]] * 8
+        kinds = [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [
+            "doc_id", "text_key", "unit", "start", "end", "n_words", "high", "low"])
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Each removed unit: doc_id, text_key, start, end, n_words, first_doc_id, first_start.
+    """Each removed run: doc_id, text_key, start, end, n_units, n_words, first_doc_id, first_start.
 
-    Ranks are minima pre-aggregated before the shuffle, so a passage that a third of the documents
-    share is one row; the join that brings its earliest place back can be split by AQE.
+    The last two are the earliest place of the run's first unit. Ranks are minima pre-aggregated
+    before the shuffle, so a passage that a third of the documents share is one row; the join that
+    brings its earliest place back can be split by AQE.
     """
-    units = cut_lineage(with_row_key(docs).select("doc_id", "text_key", "text").mapInArrow(
-        _units(min_words), UNIT_TYPE))
+    units = cut_lineage(with_row_key(docs).select("doc_id", "text_key", "text").mapInArrow(_units, UNIT_TYPE))
     place = F.struct("doc_id", "text_key", "start")
     groups = (units.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("n"))
               .where("n > 1").drop("n"))
-    return (units.join(groups, ["high", "low"]).where(place > F.col("first"))
-            .select("doc_id", "text_key", "start", "end", "n_words",
-                    F.col("first.doc_id").alias("first_doc_id"), F.col("first.start").alias("first_start")))
+    later = units.join(groups, ["high", "low"]).where(place > F.col("first")).drop("high", "low")
+    # Units of one text, so no more rows than it has lines and sentences; rows equal in all count once.
+    text = ["doc_id", "text_key"]
+    runs = (later.distinct().withColumn("run", F.col("unit") - F.row_number().over(
+        Window.partitionBy(*text).orderBy("unit")))
+        .groupBy(*text, "run").agg(
+            F.min("start").alias("start"), F.max("end").alias("end"), F.count("*").alias("n_units"),
+            F.sum("n_words").alias("n_words"), F.min(F.struct("start", "first")).alias("head")))
+    return runs.where(F.col("n_words") >= min_words).select(
+        *text, "start", "end", "n_units", "n_words", F.col("head.first.doc_id").alias("first_doc_id"),
+        F.col("head.first.start").alias("first_start"))
 
 
 def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -77,7 +90,7 @@ def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
             kept, at = [], 0
             for span in cuts:
                 kept.append(text[at:span["start"]])
-                at = span["end"] + 1  # the line break goes with its line
+                at = span["end"] + 1  # the break behind goes along
             text = "".join(kept) + text[at:]
         out.append(text)
     return pa.array(out, pa.string())

@@ -39,3 +39,24 @@ def test_units(spark):
     texts = {r.doc_id: r.text for r in unit_dedup.without_repeats(docs).collect()}
     assert texts[9] == "é head\ntail" and texts[8] == other + "\n" and texts[5] is None and texts[6] == ""
     assert unit_dedup.repeated_units(docs.limit(0)).count() == 0
+
+
+def test_passages_within_lines(spark):
+    passage = ("It starts here with some words. Then it goes on for quite a while! No. "
+               "Was that all there is to say about it? At last the passage ends in this sentence.")
+    rows = [(1, f"Own words before it {passage} own words behind it."), (2, f"other words {passage} more of them."),
+            (3, f"A text of its own. {passage}"), (4, "At last the passage ends in this sentence."),
+            (5, "No. Then it goes on for quite a while! And so on and on.")]
+    got = {r.doc_id: r for r in unit_dedup.repeated_units(
+        spark.createDataFrame(rows, "doc_id long, text string"), 20).collect()}
+    assert set(got) == {2, 3}
+    for doc, text in rows[1:3]:
+        assert text[got[doc].start:got[doc].end] == passage[passage.index("Then"):]
+        assert got[doc].first_doc_id == 1 and got[doc].n_units == 3
+
+
+def test_equal_rows_keep_their_units(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, text), (1, text), (2, text), (2, text)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in unit_dedup.without_repeats(docs).where("removed IS NULL").collect()) == [1, 1]
+    assert [r.doc_id for r in unit_dedup.repeated_units(docs).collect()] == [2]
