@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from tallywise.plans import catalog
@@ -15,6 +16,7 @@ HEADLINE = [
     "c4_decorrelated_ratio", "j1_kmeans", "j2_kmeans_fixed_init", "j8_cluster_metrics",
     "j10_cluster_profiles", "k1_isolation_forest", "k2_rbf_boundary_score", "k5_supervised_forest",
     "k13_rule_flags", "l1_knn_exact", "l4_similarity_join", "l5_knn_lsh", "p1_incremental_features",
+    "j5_dbscan", "j15_clustering_analysis", "k12_anomaly_analysis", "l11_similarity_analysis",
 ]
 
 
@@ -23,7 +25,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",")
     spark = build_session("bench", f"local[{cpus}]", spark__sql__shuffle__partitions=cpus,
-                          spark__driver__memory="16g")
+                          spark__driver__memory="16g",
+                          spark__checkpoint__dir=tempfile.mkdtemp(prefix="bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     queries, seconds = catalog.queries(), {}
     # One untimed run starts the JVM's compilers and the Python workers.

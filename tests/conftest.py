@@ -12,9 +12,10 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", "local[8]", spark__sql__shuffle__partitions="8",
-                            spark__driver__memory="12g")
+                            spark__driver__memory="12g",
+                            spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
