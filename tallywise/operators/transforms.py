@@ -65,18 +65,14 @@ def impute_mode(df: DataFrame, modes: DataFrame, columns: list[str]) -> DataFram
 
 # -- categories -------------------------------------------------------------------------------
 
-def fit_labels(df: DataFrame, columns: list[str], few: int = 1_000_000) -> DataFrame:
+def fit_labels(df: DataFrame, columns: list[str]) -> DataFrame:
     """(feature, value, code): codes in text order over the distinct values.
 
-    The code is the number of smaller distinct values of the column. Up to `few` distinct values
-    per column are ranked in one window, a longer dictionary over range partitions.
+    The code is the number of smaller distinct values of the column, counted over range
+    partitions, so a dictionary of any length is never ranked in one task.
     """
     values = category_counts(df, columns).where(F.col("value").isNotNull()).select(
         "feature", "value")
-    sizes = values.groupBy("feature").agg(F.count("*").alias("n"))
-    if (sizes.agg(F.max("n")).first()[0] or 0) <= few:
-        place = F.row_number().over(W.partitionBy("feature").orderBy("value"))
-        return values.select("feature", "value", (place - F.lit(1)).alias("code"))
     placed = row_positions(values, ["feature", "value"], "place")
     first = placed.groupBy("feature").agg(F.min("place").alias("first"))
     return placed.join(first, "feature").select(
@@ -274,12 +270,17 @@ def interaction_features(df: DataFrame) -> DataFrame:
 DEFAULT_STEPS = ("missing_values", "categorical_encoding", "interaction_features", "scaling")
 
 
+def _kept(stats: DataFrame) -> DataFrame:
+    """Statistics of a few columns as a local table, a row each."""
+    return stats.sparkSession.createDataFrame(stats.collect(), stats.schema)
+
+
 class FeatureSteps:
     """Impute, encode, interact, scale and optionally drop outliers, in this order.
 
-    `fit` passes over the data several times, so it stores the data once; it also stores the
-    small statistics tables, which `apply` reuses on other data. Outliers are dropped on the
-    fitted data only.
+    `fit` passes over the data several times, so it stores the data once, and the dictionary of
+    the categories. Statistics are a row per column and stay with the steps; `apply` reuses them on
+    other data. Outliers are dropped on the fitted data only.
     """
 
     def __init__(self, steps=DEFAULT_STEPS, scaling: str = "standard"):
@@ -289,15 +290,15 @@ class FeatureSteps:
         df = cut_lineage(df)
         kinds = column_kinds(df)
         if "missing_values" in self.steps:
-            self.stats["medians"] = cut_lineage(fit_medians(df, kinds["numerical"]))
+            self.stats["medians"] = _kept(fit_medians(df, kinds["numerical"]))
             if kinds["categorical"]:
-                self.stats["modes"] = cut_lineage(fit_modes(df, kinds["categorical"]))
+                self.stats["modes"] = _kept(fit_modes(df, kinds["categorical"]))
             df = self._impute(df)
         if "categorical_encoding" in self.steps and kinds["categorical"]:
             self.stats["labels"] = cut_lineage(fit_labels(df, kinds["categorical"]))
         df = self._derive(df)
         if "scaling" in self.steps:
-            self.stats["scaler"] = cut_lineage(
+            self.stats["scaler"] = _kept(
                 fit_scaler(df, column_kinds(df)["numerical"], self.scaling))
             df = self._scale(df)
         if "outlier_removal" in self.steps:
