@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallywise.session import cut_lineage, release
 
-ROW_KEY = ["doc_id", "text_key"]
+#: Rows of an Arrow batch that are turned into Python objects together.
+AT_ONCE = 256
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,11 +34,22 @@ def in_fold(id_column: str, folds: int, fold: int):
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit(""))) % folds == fold
 
 
-def utf8(column: pa.Array) -> list[bytes | None]:
+def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of AT_ONCE, which bounds what Python holds of them at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(at, AT_ONCE)
+
+
+def values(column: pa.Array) -> Iterator:
+    """The values of a column, AT_ONCE of them in Python at a time."""
+    for at in range(0, len(column), AT_ONCE):
+        yield from column.slice(at, AT_ONCE).to_pylist()
+
+
+def utf8(column: pa.Array) -> Iterator[bytes | None]:
     """The values of a string column as UTF-8 bytes."""
-    if pa.types.is_large_string(column.type):
-        return column.cast(pa.large_binary()).to_pylist()
-    return column.cast(pa.binary()).to_pylist()
+    return values(column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()))
 
 
 def as_long(value: int) -> int:

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import values
+
 UNKNOWN = "und"
 BUCKETS = 1 << 15
 #: Bound of the fit: labelled documents per language, drawn by a hash of their id.
@@ -132,7 +134,7 @@ def fit(labelled: DataFrame, rows_per_language: int = FIT_ROWS_PER_LANGUAGE) ->
 def _count(batches):
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for lang, text in zip(values(batch.column(0)), values(batch.column(1))):
             if has_letter(text):
                 grams, n = ngram_counts(text)
                 sums.setdefault(lang, np.zeros(BUCKETS, np.int64))[grams] += n
@@ -148,14 +150,15 @@ def with_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.languages, model.log_prob))  # BUCKETS numbers per language
 
-    @F.arrow_udf("struct<lang_pred:string,score:double,langs:array<string>>")
     def predict(texts: pa.Array) -> pa.Array:
         known = LanguageModel(*shared.value)
-        found = [infer(known, t) for t in texts.to_pylist()]
+        found = [infer(known, t) for t in values(texts)]
         return pa.StructArray.from_arrays(
             [pa.array([f[0][0] if f else UNKNOWN for f in found], pa.string()),
              pa.array([min(1.0, f[0][1]) if f else 0.0 for f in found], pa.float64()),
              pa.array([[lang for lang, _ in f] for f in found], pa.list_(pa.string()))],
             ["lang_pred", "score", "langs"])
 
-    return docs.withColumn("language", predict("text"))
+    # Not deterministic for the optimizer, which else repeats the inference for a filter on it.
+    predicted = F.arrow_udf(predict, "struct<lang_pred:string,score:double,langs:array<string>>")
+    return docs.withColumn("language", predicted.asNondeterministic()("text"))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tallywise.session import cut_lineage
 
-from .common import as_long, on_row_key, utf8, with_row_key
+from .common import as_long, on_row_key, slices, utf8, values, with_row_key
 
 WINDOW = 3
 BLANKS = b" \t\r\x0b\x0c"
@@ -28,7 +28,7 @@ BLANKS = b" \t\r\x0b\x0c"
 def _windows(batches):
     """(doc_id, text_key, line, high, low) for each window of each text."""
     digest = xxhash.xxh3_128_digest
-    for batch in batches:
+    for batch in slices(batches):
         ids, lines, high, low, keys = [], [], [], [], []
         for doc, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                   utf8(batch.column(2))):
@@ -67,7 +67,7 @@ def later_lines(docs: DataFrame) -> DataFrame:
 
 def _without(texts: pa.Array, covered: pa.Array) -> pa.Array:
     out, sizes, gone = [], [], []
-    for text, lines in zip(texts.to_pylist(), covered.to_pylist()):
+    for text, lines in zip(values(texts), values(covered)):
         split = text.split("\n") if text is not None else []
         if lines:
             drop = set(lines)
@@ -80,7 +80,7 @@ def _without(texts: pa.Array, covered: pa.Array) -> pa.Array:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """`docs` with repeated windows cut from `text`, and with `n_lines` before and `n_removed`."""
-    cut_lines = F.arrow_udf(_without, "struct<text:string,n_lines:long,n_removed:long>")
+    cut_lines = F.arrow_udf(_without, "struct<text:string,n_lines:long,n_removed:long>").asNondeterministic()
     marked = with_row_key(docs).alias("d").join(later_lines(docs).alias("c"), on_row_key("d", "c"), "left")
     cut = marked.select(*[F.col(f"d.`{c}`") for c in docs.columns],
                         cut_lines(F.col("d.text"), F.col("c.covered")).alias("__cut"))

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from tallywise.session import cut_lineage
 
+from .common import slices
+
 LENGTH = 4_096
 END_ID = 2
 #: Pieces a group packs on its own; the last, emptier bins of a group are what small groups waste.
@@ -103,7 +105,7 @@ def _pieces(path: str, length: int, with_ids: bool):
         tokenizer = ChunkTokenizer(path)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
         kinds = [pa.int64()] * 5 + [pa.binary()] * with_ids
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), tokenizer.ids(batch.column(1).to_pylist())):
                 ids += end

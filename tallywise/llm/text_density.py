@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import values
+
 #: Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math textarea title xmp object canvas".split())
@@ -227,6 +229,6 @@ def with_main_text(pages: DataFrame) -> DataFrame:
     """`pages` (html) with the string `main_text`."""
     @F.arrow_udf("string")
     def main_text(column: pa.Array) -> pa.Array:
-        return pa.array([extract(p) for p in column.to_pylist()], pa.string())
+        return pa.array([extract(p) for p in values(column)], pa.string())
 
     return pages.withColumn("main_text", main_text("html"))

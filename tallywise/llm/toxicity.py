@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 
 from tallywise.session import cut_lineage, release
 
+from .common import values
+
 BITS = 20
 THRESHOLD = 0.3
 #: Bound of the fit: labelled rows, drawn by a hash of their id.
@@ -74,7 +76,7 @@ def learn(rows: list[tuple[np.ndarray, int]], base: float, z: np.ndarray, n: np.
 
 
 def _features(texts: pa.Array) -> pa.Array:
-    return pa.array([features(t) for t in texts.to_pylist()], pa.list_(pa.int32()))
+    return pa.array([features(t) for t in values(texts)], pa.list_(pa.int32()))
 
 
 def _train(base: float):
@@ -126,13 +128,13 @@ def with_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        buckets, values, base = sparse.value
+        buckets, nonzero, base = sparse.value
         if not dense:
             dense.append(np.zeros(1 << BITS))
-            dense[0][buckets] = values
+            dense[0][buckets] = nonzero
         w = dense[0]
         if base is None:
             return pa.array([0.0] * len(texts), pa.float64())
-        return pa.array([_logistic(base + w[features(t)].sum()) for t in texts.to_pylist()], pa.float64())
+        return pa.array([_logistic(base + w[features(t)].sum()) for t in values(texts)], pa.float64())
 
     return docs.withColumn("toxicity", score("text"))

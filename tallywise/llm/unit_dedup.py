@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tallywise.session import cut_lineage
 
-from .common import as_long, on_row_key, with_row_key
+from .common import as_long, on_row_key, slices, values, with_row_key
 
 #: Shorter runs recur by nature (titles, licence lines) and stay.
 MIN_WORDS = 20
@@ -36,7 +36,7 @@ UNIT_TYPE = ("doc_id long, text_key long, unit int, start long, end long, n_word
 
 
 def _units(batches):
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for doc, key, text in zip(*(c.to_pylist() for c in batch.columns)):
             start, unit = 0, 0
@@ -85,7 +85,7 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
     out = []
-    for text, cuts in zip(texts.to_pylist(), spans.to_pylist()):
+    for text, cuts in zip(values(texts), values(spans)):
         if cuts:
             kept, at = [], 0
             for span in cuts:
