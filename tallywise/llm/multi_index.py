@@ -3,10 +3,10 @@
 The two halves of the unit vectors have a codebook each; the pair of nearest codewords is a cell of
 a product grid, and every vector is listed in its cell. A search visits the cells in the order of
 the sum of their two half distances (the multi-sequence order) until the number of cells that
-reached the target recall on a sample of queries compared with all rows of a sample. Every candidate
-is then verified by its cosine in double precision.
+reached the target recall for a sample of queries compared with all rows. Every candidate is then
+verified by its cosine in double precision.
 
-The codebooks and the number of visits are fitted on a bounded sample; every row is indexed. Cells
+The codebooks are fitted on a bounded sample; every row is indexed. Cells
 are processed in blocks of at most `CELL_BLOCK` listed vectors by `QUERY_BLOCK` searching ones, so
 a crowded cell becomes many tasks and no task holds more than one block of listed vectors. Only
 counts and spanning edges leave a task, never the pairs.
@@ -30,7 +30,7 @@ from .simhash import merge_labels
 
 THRESHOLD = 0.9
 TARGET_RECALL = 0.98
-#: Bounds of the fit: vectors for the codebooks, and queries compared with them for the visits.
+#: Bounds of the fit: vectors for the codebooks, and queries compared with all rows for the visits.
 FIT_ROWS = 20_000
 FIT_QUERIES = 1_000
 #: Vectors per cell aimed at, and the most codewords of one half.
@@ -88,37 +88,29 @@ def multi_sequence(left: np.ndarray, right: np.ndarray, visits: int) -> np.ndarr
 
 
 class MultiIndex:
-    """Two codebooks and the number of cells a search visits; `recall` is that of the sample."""
+    """Two codebooks, and the number of cells that a search visits."""
 
-    def __init__(self, sample: np.ndarray, rows: int, threshold: float):
-        half = sample.shape[1] // 2
+    def __init__(self, sample: np.ndarray, rows: int):
         k = int(min(MOST_CODEWORDS, max(2, np.sqrt(rows / ROWS_PER_CELL))))
-        self.half = half
-        self.books = [kmeans(sample[:, :half], k, seed=1), kmeans(sample[:, half:], k, seed=2)]
-        self.visits, self.recall = self._enough_visits(sample, threshold)
+        self.half, self.visits, self.recall = sample.shape[1] // 2, LEAST_VISITS, None
+        self.books = [kmeans(sample[:, :self.half], k, seed=1), kmeans(sample[:, self.half:], k, seed=2)]
 
     def cells(self, vectors: np.ndarray, visits: int) -> np.ndarray:
         """Cells to visit, nearest first; the first one is the vector's own."""
-        return multi_sequence(half_distances(vectors[:, :self.half], self.books[0]),
-                              half_distances(vectors[:, self.half:], self.books[1]), visits)
-
-    def _enough_visits(self, sample: np.ndarray, threshold: float) -> tuple[int, float]:
-        queries = sample[:FIT_QUERIES]
-        order = self.cells(queries, MOST_VISITS)
-        own = np.concatenate([self.cells(part, 1)[:, 0]
-                              for part in np.array_split(sample, -(-len(sample) // 2_048))])
-        ranks = []
-        for q, cosines in enumerate(queries @ sample.T):
-            linked = np.flatnonzero(cosines >= threshold)
-            linked = linked[linked != q]
-            met = own[linked][:, None] == order[q]
-            ranks.extend(np.where(met.any(axis=1), met.argmax(axis=1) + 1, order.shape[1] + 1))
-        if not ranks:
-            return min(LEAST_VISITS, order.shape[1]), 1.0
-        ranks = np.sort(ranks)
-        need = int(ranks[min(len(ranks) - 1, int(np.ceil(TARGET_RECALL * len(ranks))) - 1)])
-        visits = int(min(max(need, LEAST_VISITS), order.shape[1]))
-        return visits, float((ranks <= visits).mean())
+        return np.concatenate([multi_sequence(half_distances(part[:, :self.half], self.books[0]),
+                                              half_distances(part[:, self.half:], self.books[1]), visits)
+                               for part in np.array_split(vectors, -(-len(vectors) // 1_024))])
+
+    def settle(self, reached: dict[int, int]) -> None:
+        """Visit as many cells as reach the target recall; `reached` counts links by the rank of their cell."""
+        total = sum(reached.values())
+        if not total:
+            return  # no link among the queries: nothing asks for more
+        ranks = sorted(reached)
+        below = np.cumsum([reached[r] for r in ranks])
+        need = ranks[int(np.searchsorted(below, TARGET_RECALL * total))]
+        self.visits = min(max(need, LEAST_VISITS), MOST_VISITS)
+        self.recall = sum(n for r, n in reached.items() if r <= self.visits) / total
 
 
 def sites(embeddings: DataFrame) -> DataFrame:
@@ -130,14 +122,48 @@ def sites(embeddings: DataFrame) -> DataFrame:
             .where("site IS NOT NULL"))
 
 
-def _fit(rows: DataFrame, n: int, threshold: float) -> MultiIndex | None:
-    """Codebooks from at most about FIT_ROWS vectors, drawn by a hash of their id."""
+def _ranks(index: MultiIndex, query_ids: np.ndarray, queries: np.ndarray, threshold: float):
+    """(rank, n): links of the queries with the rows, counted by the rank at which the query meets their cell."""
+    order = index.cells(queries, MOST_VISITS)
+
+    def ranks(batches):
+        counts = np.zeros(order.shape[1] + 2, np.int64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = batch.column("site").to_numpy()
+            vectors = unit_vectors(np.stack(batch.column("embedding").to_numpy(zero_copy_only=False)).astype(np.float64))
+            own = index.cells(vectors, 1)[:, 0]
+            for at in range(0, len(ids), 1_024):
+                row, query = np.nonzero(vectors[at:at + 1_024] @ queries.T >= threshold)
+                other = ids[at + row] != query_ids[query]
+                met = own[at + row[other], None] == order[query[other]]
+                counts += np.bincount(np.where(met.any(axis=1), met.argmax(axis=1) + 1, order.shape[1] + 1),
+                                      minlength=len(counts))
+        found = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(counts[found])], ["rank", "n"])
+    return ranks
+
+
+def fit_index(rows: DataFrame, n: int, threshold: float) -> MultiIndex | None:
+    """Codebooks from about FIT_ROWS vectors; visits from FIT_QUERIES of them compared with all rows.
+
+    The sample is drawn by a hash of the id. The queries' links with every row are found by brute
+    force; only their number by rank comes back, so `recall` is that of the whole table.
+    """
     share = min(1.0, FIT_ROWS / max(1, n))
     drawn = rows.where(F.pmod(F.xxhash64("site", F.lit("fit")), F.lit(1 << 20)) < int(share * (1 << 20)))
-    vectors = [r.embedding for r in drawn.orderBy(F.xxhash64("site")).select("embedding").collect()]
-    if not vectors:
+    sample = drawn.orderBy(F.xxhash64("site")).select("site", "embedding").collect()
+    if not sample:
         return None
-    return MultiIndex(unit_vectors(np.array(vectors, dtype=np.float64)), n, threshold)
+    ids = np.array([r.site for r in sample])
+    vectors = unit_vectors(np.array([r.embedding for r in sample], dtype=np.float64))
+    index = MultiIndex(vectors, n)
+    counted = (rows.select("site", "embedding").mapInArrow(
+        _ranks(index, ids[:FIT_QUERIES], vectors[:FIT_QUERIES], threshold), "rank long, n long")
+        .groupBy("rank").agg(F.sum("n").alias("n")).collect())  # a row per rank
+    index.settle({r.rank: r.n for r in counted})
+    return index
 
 
 def _listed(index: MultiIndex):
@@ -147,8 +173,7 @@ def _listed(index: MultiIndex):
             if not batch.num_rows:
                 continue
             raw = np.stack(batch.column("embedding").to_numpy(zero_copy_only=False))
-            order = np.concatenate([index.cells(part, index.visits) for part in np.array_split(
-                unit_vectors(raw.astype(np.float64)), -(-len(raw) // 1_024))])
+            order = index.cells(unit_vectors(raw.astype(np.float64)), index.visits)
             n, visits = order.shape
             cell = np.concatenate([order[:, 0], order.ravel()])
             rows = np.concatenate([np.arange(n), np.repeat(np.arange(n), visits)])
@@ -248,7 +273,7 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> Data
     rows = cut_lineage(sites(embeddings))
     width = rows.groupBy(F.size("embedding").alias("w")).count().orderBy(F.desc("count"), "w").first()
     rows = rows.where(F.size("embedding") == (width.w if width else 0))
-    index = _fit(rows, width["count"] if width else 0, threshold)
+    index = fit_index(rows, width["count"] if width else 0, threshold)
     if index is None:
         found = embeddings.sparkSession.createDataFrame([], "kind int, site long, value long")
     else:
