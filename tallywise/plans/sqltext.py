@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+from itertools import accumulate
+
 from .. import constants as C
-from ..functions.keyed import cumulative
 from ..operators.synth import CITY_VALUES, CITY_WEIGHTS
 
 __all__ = ["with_", "u", "pick", "case_in", "CITY_VALUES", "CITY_WEIGHTS", "round_cols"]
@@ -20,7 +22,8 @@ def u(key: str, salt: str) -> str:
 
 
 def pick(unif: str, values: list, weights: list | None = None) -> str:
-    bounds = cumulative(weights or [1.0] * len(values))
+    exact = [Fraction(str(w)) for w in weights or [1] * len(values)]
+    bounds = [float(upto / sum(exact)) for upto in accumulate(exact[:-1])]
     arms = " ".join(f"when {unif} < {b!r}::double then {lit(v)}" for b, v in zip(bounds, values))
     return f"(case {arms} else {lit(values[-1])} end)"
 
