@@ -4,6 +4,7 @@ The values of a fit depend on its draws, so a query returns, for every row the m
 must hold of it whatever the draws; SQL states the rows and the values that follow.
 """
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import constants as C
@@ -264,19 +265,22 @@ def clustering_analysis(spark, d):
         ).alias("has_probability"))
 
 
-@query("k12_anomaly_analysis", S.with_("users ltx", f"""
-select user_id, anomaly_method, true as has_score, case when anomaly_method = best then {len(C.ANOMALY_FEATURES)} else 0 end
-  as n_importances from users, (select unnest(case when positives >= 5 and positives < total
-    then ['isolation_forest', 'one_class', 'supervised'] else ['isolation_forest', 'one_class'] end) as anomaly_method,
-    case when positives >= 5 and positives < total then 'supervised' end as best from (
+@query("k12_anomaly_analysis", S.with_("users ltx", """
+select user_id, anomaly_method, true as has_score, true as one_explained
+from users, (select unnest(case when positives >= 5 and positives < total
+    then ['isolation_forest', 'one_class', 'supervised'] else ['isolation_forest', 'one_class'] end) as anomaly_method from (
     select (select count(*) from users) as total, count(*) as positives from (
       select user_id from ltx group by user_id having avg(case when is_noise then 1.0::double else 0 end) > 0.1)))"""))
 def anomaly_analysis(spark, d):
-    """Every method scores every user; the chosen one stores the importance of every feature."""
+    """Every method scores every user; the chosen one, and it alone, stores the importance of every feature."""
     truth = an.ground_truth(users(spark, d), ltx(spark, d))
     rows = analyses.anomaly_analysis(lfeats(spark, d), truth, work_path(spark, "anomaly"))["results"]
-    return rows.select("user_id", "anomaly_method", F.col("anomaly_score").isNotNull().alias("has_score"), F.coalesce(
-        F.size(F.from_json("feature_importance", "map<string,double>")), F.lit(0)).alias("n_importances"))
+    n = F.coalesce(F.size(F.from_json("feature_importance", "map<string,double>")), F.lit(0))
+    stored = W.partitionBy("user_id")
+    return rows.withColumn("n", n).select(
+        "user_id", "anomaly_method", F.col("anomaly_score").isNotNull().alias("has_score"),
+        ((F.sum("n").over(stored) == len(C.ANOMALY_FEATURES))
+         & (F.max("n").over(stored) == len(C.ANOMALY_FEATURES))).alias("one_explained"))
 
 
 @query("l11_similarity_analysis", S.with_("users", f"""select user_id as query_user_id, 10::bigint as n_hits, true as is_score
