@@ -2,7 +2,7 @@
 
 The flow runs on the shards alone (their number is a parameter, never the data): an arc from every
 old shard to every new one, free where the number stays, one per byte where it changes. Its amounts
-become ranges of bytes within each old shard, and a document follows the range in which it starts.
+become ranges of bytes within each old shard, and a document follows the range that holds its middle.
 
 Positions are prefix sums in two steps. Documents fall into blocks by a hash, blocks are summed,
 their starts are running sums of block totals, and a document's place within its block is a
@@ -111,7 +111,7 @@ def plan(documents: DataFrame, shards: int, capacities: list[int] | None = None)
     placed = rows.withColumn("inner", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1)))
     totals = rows.groupBy(*block).agg(F.sum("size").alias("bytes"))
     placed = _with_starts(placed, totals, block, ["old_shard"], "bytes", "block_start")
-    at = F.col("block_start") + F.coalesce("inner", F.lit(0))
+    at = F.col("block_start") + F.coalesce("inner", F.lit(0)) + F.floor(F.col("size") / 2)
     # One row per transfer: at most old shards times new shards.
     dealt = (placed.withColumn("at", at).join(F.broadcast(targets), "old_shard")
              .where("at >= low AND at < high"))
