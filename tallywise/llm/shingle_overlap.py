@@ -1,0 +1,154 @@
+"""Near copies by the Jaccard similarity of their five-word shingles, exact at 0.8.
+
+Sets of n shingles with similarity s share at least s * n of them, so two of them have a shingle in
+common among the first n - ceil(s * n) + 1 of each, whatever one order all sets are read in. Shingles
+frequent in a sample come last in that order, which keeps passages that many documents quote out
+of the prefixes; the rest are ordered by their hash. Documents that meet in a prefix are compared by
+their whole sets.
+
+Documents are not paired out where one comparison each will do: all that meet in a shingle are first
+compared with the smallest of them, and only those that this leaves in different groups with each other.
+
+Edge cases: words are parted and put in small letters as in `simhash`. Fewer than five words are one
+shingle, and all texts without words are equal. Shingles are compared by their XXH64 values.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tallywise.session import cut_lineage, release
+
+from .common import as_long, components, slices, utf8, with_row_key
+
+WORDS = 5
+#: Similarity at which documents are linked, as the fraction 4 / 5.
+PART, WHOLE = 4, 5
+#: Documents whose shingles are counted to find frequent ones, and the most of those that are kept.
+SAMPLE_ROWS = 20_000
+FREQUENT = 4
+MOST_FREQUENT = 500_000
+
+
+def shingles(text: bytes | None) -> np.ndarray:
+    """Sorted XXH64 values (seed 42) of the distinct five-word shingles."""
+    words = (text or b"").lower().split()
+    digest = xxhash.xxh64_intdigest
+    if len(words) < WORDS:
+        return np.array([digest(b" ".join(words), 42)], np.uint64)
+    runs = zip(*(words[k:] for k in range(WORDS)))
+    return np.unique(np.fromiter((digest(b" ".join(run), 42) for run in runs), np.uint64, len(words) - WORDS + 1))
+
+
+def _site(texts: pa.Array) -> pa.Array:
+    return pa.array([as_long(xxhash.xxh64_intdigest(shingles(t).tobytes(), 42)) for t in utf8(texts)], pa.int64())
+
+
+def _grams(texts: pa.Array) -> pa.Array:
+    return pa.array([shingles(t).view(np.int64) for t in utf8(texts)], pa.list_(pa.int64()))
+
+
+def with_site(docs: DataFrame) -> DataFrame:
+    """`docs` with the long `site`, equal for equal sets of shingles."""
+    return docs.withColumn("site", F.arrow_udf(_site, "long")("text"))
+
+
+def _prefixes(frequent: np.ndarray):
+    """(gram, site, n, place) of the first shingles of each set; `frequent` ones, the rarest first, come last."""
+    by_value = np.argsort(frequent)
+    known = frequent[by_value]
+
+    def prefixes(batches):
+        for batch in slices(batches):
+            parts = []
+            for text in utf8(batch.column(0)):
+                grams = shingles(text)
+                n = len(grams)
+                late = np.zeros(n, np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+                    late = np.where(known[at] == grams, by_value[at] + 1, 0)
+                first = grams[np.argsort(late, kind="stable")[:n - -(-n * PART // WHOLE) + 1]]
+                site = as_long(xxhash.xxh64_intdigest(grams.tobytes(), 42))
+                parts.append((first, np.full(len(first), site), np.full(len(first), n, np.int32),
+                              np.arange(len(first), dtype=np.int32)))
+            if parts:
+                gram, site, n, place = (np.concatenate(c) for c in zip(*parts))
+                yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(site), pa.array(n),
+                                                  pa.array(place)], ["gram", "site", "n", "place"])
+    return prefixes
+
+
+def _frequent(docs: DataFrame) -> np.ndarray:
+    """Shingles of at least FREQUENT sampled documents, the rarest first; bounded, and only an order."""
+    share = min(1.0, SAMPLE_ROWS / max(1, docs.count()))
+    drawn = docs.where(F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 20)) < int(share * (1 << 20)))
+    found = (drawn.select(F.explode(F.arrow_udf(_grams, "array<long>")("text")).alias("gram"))
+             .groupBy("gram").count().where(F.col("count") >= FREQUENT)
+             .orderBy(F.desc("count"), "gram").limit(MOST_FREQUENT).collect())
+    return np.array([r.gram for r in reversed(found)], np.int64).view(np.uint64)
+
+
+def _may_reach(n: str, place: str, other_n: str, other_place: str) -> Column:
+    """Whether sets that meet first at these places can share 4/9 of their summed sizes (similarity 4/5)."""
+    left = F.least(F.col(n) - F.col(place), F.col(other_n) - F.col(other_place))
+    return left * (PART + WHOLE) >= (F.col(n) + F.col(other_n)) * PART
+
+
+def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The `pairs` (a, b) of sites with Jaccard similarity 4/5 or more."""
+    a = sets.select(F.col("site").alias("a"), F.col("grams").alias("grams_a"))
+    b = sets.select(F.col("site").alias("b"), F.col("grams").alias("grams_b"))
+    shared = F.size(F.array_intersect("grams_a", "grams_b"))
+    return (pairs.join(a, "a").join(b, "b")
+            .where(shared * (PART + WHOLE) >= (F.size("grams_a") + F.size("grams_b")) * PART).select("a", "b"))
+
+
+def _sets(docs: DataFrame, texts: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(site, grams) of the sites in `pairs`; `texts` names the text_key of a row for each site."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("site")).distinct().join(texts, "site")
+    rows = with_row_key(docs).select("text", "text_key").join(wanted, "text_key").groupBy("site").agg(
+        F.min("text").alias("text"))
+    return rows.select("site", F.arrow_udf(_grams, "array<long>")("text").alias("grams"))
+
+
+def links(docs: DataFrame, sites: DataFrame, known: DataFrame) -> DataFrame:
+    """Edges (a, b) between sites that join, with those `known`, all pairs of similarity 4/5 or more.
+
+    `sites` holds (site, text_key) of the rows of `docs`. Every edge is a pair of that similarity.
+    """
+    texts = sites.groupBy("site").agg(F.min("text_key").alias("text_key"))
+    prefixes = cut_lineage(docs.select("text").mapInArrow(
+        _prefixes(_frequent(docs)), "gram long, site long, n int, place int"))
+    shared = (prefixes.groupBy("gram").agg(F.min(F.struct("site", "n", "place")).alias("least"),
+                                           F.max("site").alias("most")).where("least.site < most"))
+    met = cut_lineage(prefixes.join(shared.drop("most"), "gram").select(
+        "gram", "site", "n", "place", F.col("least.site").alias("b"), F.col("least.n").alias("b_n"),
+        F.col("least.place").alias("b_place")).distinct())
+    release(prefixes)
+
+    pairs = cut_lineage(met.where((F.col("site") > F.col("b")) & _may_reach("n", "place", "b_n", "b_place"))
+                        .select(F.col("site").alias("a"), "b").distinct())
+    found = cut_lineage(_verified(pairs, _sets(docs, texts, pairs)))
+
+    # What shares a shingle and is in different groups by now is compared pair by pair.
+    groups = components(found.union(known)).withColumnRenamed("node", "site")
+    grouped = met.select("gram", "site", "n", "place").join(groups, "site", "left").withColumn(
+        "component", F.coalesce("component", "site"))
+    split = (grouped.groupBy("gram").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+             .where("low < high").select("gram"))
+    apart = cut_lineage(grouped.join(split, "gram"))
+    release(met)
+    mine = apart.select("gram", *[F.col(c).alias(f"a_{c}") for c in ("site", "n", "place", "component")])
+    other = apart.select("gram", *[F.col(c).alias(f"b_{c}") for c in ("site", "n", "place", "component")])
+    rest = cut_lineage(
+        mine.join(other, "gram").where((F.col("a_site") > F.col("b_site"))
+                                       & (F.col("a_component") != F.col("b_component"))
+                                       & _may_reach("a_n", "a_place", "b_n", "b_place"))
+        .select(F.col("a_site").alias("a"), F.col("b_site").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"))
+    release(apart)
+    return found.union(_verified(rest, _sets(docs, texts, rest)))

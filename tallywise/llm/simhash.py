@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tallywise.session import cut_lineage
 
+from . import shingle_overlap
 from .common import components, on_row_key, utf8, with_row_key
 
 RADIUS = 2
@@ -198,23 +199,47 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     `component_id` is the smallest doc_id reachable, `keep_key` the text_key of the row to keep.
     """
     prints = cut_lineage(fingerprints(with_row_key(docs)).select("doc_id", "text_key", "fingerprint"))
-    groups = cut_lineage(prints.groupBy("fingerprint").agg(
+    return _named(prints, "fingerprint", links(prints))
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, fingerprint, site, component_id, keep_key) per row of `docs`.
+
+    Rows are linked by their fingerprints as in `near_duplicates`, and also where the Jaccard similarity
+    of their five-word shingles is 0.8 or more, most of which lie further apart than the fingerprints' radius.
+    """
+    prints = cut_lineage(shingle_overlap.with_site(fingerprints(with_row_key(docs)))
+                         .select("doc_id", "text_key", "fingerprint", "site"))
+    # A fingerprint stands for its smallest site, to which its other sites are linked.
+    least = cut_lineage(prints.groupBy("fingerprint").agg(F.min("site").alias("b")))
+    near = links(least)
+    for end in ("a", "b"):
+        name = least.select(F.col("fingerprint").alias(end), F.col("b").alias("named"))
+        near = near.join(name, end).drop(end).withColumnRenamed("named", f"site_{end}")
+    known = cut_lineage(near.select(F.col("site_a").alias("a"), F.col("site_b").alias("b")).union(
+        prints.select("fingerprint", F.col("site").alias("a")).join(least, "fingerprint")
+        .where("a <> b").select("a", "b").distinct()))
+    return _named(prints, "site", known.union(shingle_overlap.links(docs, prints.select("site", "text_key"), known)))
+
+
+def _named(prints: DataFrame, node: str, edges: DataFrame) -> DataFrame:
+    """`prints` with the component_id and keep_key of the group that `edges` put their `node` in."""
+    groups = cut_lineage(prints.groupBy(node).agg(
         F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))).alias("first"),
         F.min("text_key").alias("any_key")))
-    named = components(links(groups)).withColumnRenamed("node", "fingerprint")
-    placed = groups.join(named, "fingerprint", "left").withColumn(
-        "component", F.coalesce("component", "fingerprint"))
+    named = components(edges).withColumnRenamed("node", node)
+    placed = groups.join(named, node, "left").withColumn("component", F.coalesce("component", node))
     heads = placed.groupBy("component").agg(F.min("first").alias("head"), F.min("any_key").alias("any_key"))
-    # One row per fingerprint goes back to the documents; groups of any size are joined, not gathered.
-    names = placed.select("fingerprint", "component").join(heads, "component").select(
-        "fingerprint", F.col("head.doc_id").alias("component_id"),
+    # One row per node goes back to the documents; groups of any size are joined, not gathered.
+    names = placed.select(node, "component").join(heads, "component").select(
+        node, F.col("head.doc_id").alias("component_id"),
         F.coalesce("head.text_key", "any_key").alias("keep_key"))
-    return prints.join(names, "fingerprint")
+    return prints.join(names, node)
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, by=near_duplicates) -> DataFrame:
     """`docs` with the first row of every component; of equal rows one stays."""
-    keep = (near_duplicates(docs)
+    keep = (by(docs)
             .where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("keep_key")))
             .select("doc_id", "text_key").distinct())
     joined = with_row_key(docs).alias("d").join(keep.alias("k"), on_row_key("d", "k"), "left_semi")

@@ -1,0 +1,59 @@
+"""The pipeline's near-duplicate stage against brute-force Jaccard of five-word shingles."""
+
+import random
+from itertools import combinations
+
+import corpus_pipeline as C
+import pytest
+
+from tallywise.llm import shingle_overlap as S
+from tallywise.llm import simhash
+
+
+def sets(text):
+    words = text.lower().split()
+    return {tuple(words[k:k + 5]) for k in range(len(words) - 4)} or {tuple(words)}
+
+
+def brute(texts):
+    """Smallest id of each group of texts linked by similarity 0.8 or two bits."""
+    head, grams = {d: d for d in texts}, {d: sets(t) for d, t in texts.items()}
+    prints = {d: simhash.text_fingerprint(t.encode()) for d, t in texts.items()}
+    for a, b in combinations(sorted(texts), 2):
+        shared = len(grams[a] & grams[b])
+        if (5 * shared >= 4 * (len(grams[a]) + len(grams[b]) - shared)
+                or (prints[a] ^ prints[b]).bit_count() <= simhash.RADIUS):
+            low, high = sorted((head[a], head[b]))
+            head = {d: low if h == high else h for d, h in head.items()}
+    return head
+
+
+@pytest.mark.parametrize("frequent", [4, 10**9])
+def test_near_copies_go(spark, monkeypatch, frequent):
+    monkeypatch.setattr(S, "FREQUENT", frequent)
+    rng = random.Random(3)
+    quoted = [f"quoted{k}" for k in range(40)]
+    texts = []
+    for k in range(60):
+        words = [f"w{rng.randrange(400)}" for _ in range(rng.randrange(8, 300))]
+        texts.append(words + (quoted if k % 3 == 0 else []))
+        for _ in range(k % 4):  # each copy of the copy before, at similarities around 0.8
+            words = list(texts[-1])
+            for _ in range(rng.randrange(1, 2 + len(words) // 40)):
+                words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+            texts.append(words)
+    rng.shuffle(texts)
+    texts = {k: " ".join(t) for k, t in enumerate(texts)} | {900: "few words", 901: "few  WORDS", 902: "other words"}
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in texts.items()],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    want = brute(texts)
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()}
+    assert got == want and 60 < len(set(want.values())) < len(texts)
+    kept = {r.doc_id for r in C.drop_near_duplicates(spark, docs, "").collect()}
+    assert kept == set(want.values())
+
+
+def test_given_documents(spark, folder):
+    docs = C.table(spark, folder, "documents").where("trim(text) <> ''")
+    want = brute({r.doc_id: r.text for r in docs.collect()})
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()} == want
