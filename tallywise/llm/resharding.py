@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywise.session import cut_lineage
+from tallywise.session import cut_lineage, delete
 
 ROW_BYTES = 16
 #: Documents of a block, on average.
@@ -127,17 +127,28 @@ def plan(documents: DataFrame, shards: int, capacities: list[int] | None = None)
 def rewrite_affected(docs: DataFrame, moves: DataFrame, folder: str) -> None:
     """Write anew only the shards of `folder` (a table partitioned by `shard`) that gain or lose rows.
 
-    `docs` carries `old_shard`; `moves` is a plan. Untouched shards keep their files.
+    `docs` carries `old_shard`; `moves` is a plan. Untouched shards keep their files; the folder of a
+    shard that ends up empty is deleted. Of rows equal in doc_id, text and old shard, the plan's first
+    goes with the first of the documents, so each row of the plan is one row written or left in place.
     """
+    spark = docs.sparkSession
     changed = (moves.where("shard <> old_shard").select(F.explode(F.array("shard", "old_shard")).alias("shard"))
                .distinct())
-    old = docs.withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit(""))))
-    keys = ["doc_id", "text_crc32"]
-    to = moves.groupBy(*keys).agg(F.min("shard").alias("shard"))
-    moved = (old.alias("d").join(to.alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))
-                                 & (F.col("d.text_crc32") == F.col("t.text_crc32")))
-             .select(*[F.col(f"d.`{c}`") for c in docs.columns if c not in ("old_shard", "shard")], "t.shard")
-             .join(F.broadcast(changed), "shard"))  # at most one row per shard
+    keys = ["doc_id", "text_crc32", "old_shard"]
+    old = (docs.drop("shard").withColumn("old_shard", F.coalesce("old_shard", F.lit(0)).cast("int"))
+           .withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")))))
+    # Rows with equal keys are few unless a table repeats one document: those alone share a task.
+    old = old.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("text")))
+    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("shard", "slot"))
+    to = moves.withColumn("nth", nth).join(F.broadcast(changed), "shard", "left_semi")
+    moved = old.alias("d").join(
+        to.alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))
+        & (F.col("d.text_crc32") == F.col("t.text_crc32")) & (F.col("d.old_shard") == F.col("t.old_shard"))
+        & (F.col("d.nth") == F.col("t.nth"))).select(
+        *[F.col(f"d.`{c}`") for c in docs.columns if c not in ("old_shard", "shard")], "t.shard")
     stored = cut_lineage(moved)
+    emptied = [r.shard for r in changed.join(to.select("shard").distinct(), "shard", "left_anti").collect()]
     (stored.repartition("shard").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("shard").parquet(folder))
+    for shard in emptied:  # at most one per old shard
+        delete(spark, f"{folder.rstrip('/')}/shard={shard}")
