@@ -25,22 +25,27 @@ from .common import values
 
 #: Element names of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math textarea title xmp object canvas".split())
+RAW = frozenset("script style noscript template iframe textarea title xmp".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt "
-                   "ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+                   "ruby s samp small span strike strong sub sup time tt u var wbr img math mi mn mo ms mtext mrow msup "
+                   "msub msubsup mfrac msqrt mroot mover munder munderover mspace mstyle semantics svg object "
+                   "canvas".split())
 PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre ul ol td th tr tbody table figure dl dt dd".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol table dl select div article section main body".split())
-DROPPED = RAW | frozenset("head nav footer aside form button select option dialog menu figcaption "
-                          "input".split())
-#: Words of a class, id or role that name what is no part of an article.
+DROPPED = RAW | frozenset("head nav footer aside form button select option dialog menu input svg object "
+                          "canvas".split())
+#: Classes, ids and roles, as whole tokens, that name what is no part of an article.
 NOTICES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|banner|breadcrumbs?|comments?|comment-list|"
-    r"cookies?|consent|disclaimer|footer|gdpr|header|login|masthead|menu|modal|nav|navbar|navigation|"
-    r"newsletter|notices?|overlay|pagination|pager|popup|promo|promoted|related|respond|replies|share|"
-    r"sharing|sidebar|signup|social|sponsor|sponsored|subscribe|subscription|toolbar|widget|discussion|"
-    r"contentinfo|complementary|search|alert)(?:$|[\s_-])", re.I)
+    r"(?:ads?|adverts?|advertisement|advertising|banner|breadcrumbs?|comments?|cookies?|consent|disclaimer|"
+    r"footer|gdpr|header|login|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|overlay|"
+    r"pagination|pager|popup|promo|promoted|related|respond|replies|share|sharing|sidebar|signup|social|"
+    r"sponsor|sponsored|subscribe|subscription|toolbar|widget|discussion|contentinfo|complementary|search|"
+    r"alert)", re.I)
+#: Tokens of several words whose words all are such names or say no more than where or how many.
+COMPOUND = re.compile(rf"(?:{NOTICES.pattern}|area|bar|block|box|container|links?|list|main|page|posts?|section|"
+                      r"site|left|right|top|bottom|wrap|wrapper|inner|\d+)", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I | re.S)
@@ -49,12 +54,14 @@ BLANK = re.compile(r"\s+")
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "attrs", "parent", "items", "chars", "tags", "link_chars", "link_tags", "density", "sum",
+                 "holds")
 
     def __init__(self, tag: str, attrs: str, parent: Node | None):
         self.tag, self.attrs, self.parent, self.items = tag, attrs, parent, []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
+        self.holds = False
 
 
 def parse(page: str) -> Node:
@@ -102,13 +109,56 @@ def _close(here: Node, names: set, scopes: frozenset) -> Node:
     return here
 
 
+def _names_notice(token: str) -> bool:
+    """Whether a class, id or role is a notice's: its first or last word names one, the others no other part."""
+    words = [w for w in re.split(r"[_-]+", token) if w]
+    if len(words) < 2:
+        return bool(words) and bool(NOTICES.fullmatch(words[0]))
+    if words[0].lower() in ("entry", "section", "article", "post", "content", "has", "no", "with", "without"):
+        return False
+    return all(COMPOUND.fullmatch(w) for w in words) and any(NOTICES.fullmatch(w) for w in words)
+
+
 def _is_notice(node: Node) -> bool:
+    """Whether a node is left out by its element, by being hidden, or by a name that its content bears out."""
     if node.tag in DROPPED:
         return True
-    if not node.attrs or node.tag in ("html", "body", "article", "main"):
-        return bool(node.attrs) and bool(HIDDEN.search(node.attrs))
-    return bool(HIDDEN.search(node.attrs)) or any(
-        NOTICES.search(a or b or c) for _, a, b, c in ATTRIBUTE.findall(node.attrs))
+    if not node.attrs:
+        return False
+    if HIDDEN.search(node.attrs):
+        return True
+    if node.tag in ("html", "body", "article", "main") or node.holds:
+        return False
+    names = [t for _, a, b, c in ATTRIBUTE.findall(node.attrs) for t in (a or b or c).split()]
+    return any(_names_notice(t) for t in names)
+
+
+def _mark_holders(root: Node) -> None:
+    """Set `holds` where a name cannot make a node a notice.
+
+    Such a node holds an article and lies in none; or, in a page without one, it holds nine tenths of
+    the plain text, so that little would be left.
+    """
+    order, stack, inside = [], [(root, False)], set()
+    while stack:
+        node, within = stack.pop()
+        order.append(node)
+        if within:
+            inside.add(id(node))
+        within = within or node.tag in ("article", "main")
+        stack.extend((c, within) for c in node.items if isinstance(c, Node) and c.tag not in DROPPED)
+    plain: dict[int, int] = {}
+    above: set[int] = set()
+    for node in reversed(order):
+        own = sum(len(BLANK.sub(" ", i).strip()) if isinstance(i, str) else plain.get(id(i), 0) for i in node.items)
+        plain[id(node)] = 0 if node.tag == "a" else own
+        if any(isinstance(c, Node) and (id(c) in above or c.tag in ("article", "main")) for c in node.items):
+            above.add(id(node))
+    for node in order:
+        if above:
+            node.holds = id(node) in above and id(node) not in inside
+        else:
+            node.holds = 10 * plain[id(node)] >= 9 * plain[id(root)] > 0
 
 
 def _outside_article(node: Node) -> bool:
@@ -135,6 +185,7 @@ def _post_order(root: Node) -> list[Node]:
 
 def _measure(root: Node) -> list[Node]:
     """Fill in characters, tags, densities and sums; what is left out counts as a tag without text."""
+    _mark_holders(root)
     order = _post_order(root)
     for node in order:
         for item in node.items:
