@@ -31,6 +31,8 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
                    "msub msubsup mfrac msqrt mroot mover munder munderover mspace mstyle semantics svg object "
                    "canvas".split())
 PARTS = frozenset("p h1 h2 h3 h4 h5 h6 li blockquote pre ul ol td th tr tbody table figure dl dt dd".split())
+#: Elements that end an svg or math left open.
+BREAKS = frozenset("p div h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol table dl select div article section main body".split())
@@ -85,6 +87,8 @@ def parse(page: str) -> Node:
             if node is not root:
                 here = node.parent
             continue
+        if name in BREAKS:
+            here = _close(here, {"svg", "math"}, SCOPES | {"foreignobject"})
         if name == "p" or name not in INLINE and name not in VOID and name not in RAW:
             here = _close(here, {"p"}, SCOPES)
         if name in CLOSES:

@@ -32,6 +32,7 @@ def test_captions_and_formulas_stay():
     assert X.extract(page) == f"{P1} A caption. x y"
 
 
-@pytest.mark.parametrize("odd", ["<svg width=1 />", "<math/>", "<svg><text>no</text></svg>", "<canvas>no</canvas>"])
+@pytest.mark.parametrize("odd", ["<svg width=1 />", "<math/>", "<svg><text>no</text></svg>", "<canvas>no</canvas>",
+                                 "<svg><path d=x>", "<math><mi>"])
 def test_embedded_elements_end_where_they_end(odd):
     assert X.extract(f"<body>{MENU}<article><p>{P1}</p>{odd}<p>{P2}</p></article>") == " ".join(PLAIN[:2])
