@@ -37,6 +37,8 @@ FIT_QUERIES = 1_000
 ROWS_PER_CELL = 8
 MOST_CODEWORDS = 1_024
 LEAST_VISITS, MOST_VISITS = 4, 64
+#: Links among the sampled queries below which the visits also rest on perturbed queries.
+ENOUGH_LINKS = 200
 CELL_BLOCK = 2_048
 QUERY_BLOCK = 16_384
 
@@ -105,13 +107,32 @@ class MultiIndex:
         """Visit as many cells as reach the target recall; `reached` counts links by the rank of their cell."""
         total = sum(reached.values())
         if not total:
-            return  # no link among the queries: nothing asks for more
+            return  # no link to go by
         ranks = sorted(reached)
         below = np.cumsum([reached[r] for r in ranks])
         need = ranks[int(np.searchsorted(below, TARGET_RECALL * total))]
         self.visits = min(max(need, LEAST_VISITS), MOST_VISITS)
         self.recall = sum(n for r, n in reached.items() if r <= self.visits) / total
 
+    def perturbed(self, vectors: np.ndarray, threshold: float) -> dict[int, int]:
+        """Made-up links at the threshold cosine, counted by the rank at which either side meets the other's cell."""
+        noise = np.random.default_rng(3).normal(size=vectors.shape)
+        noise -= (noise * vectors).sum(axis=1, keepdims=True) * vectors
+        if vectors.shape[1] < 2 or not len(vectors):
+            return {}
+        partners = threshold * vectors + np.sqrt(max(0.0, 1 - threshold**2)) * unit_vectors(noise)
+        orders = self.cells(vectors, MOST_VISITS), self.cells(partners, MOST_VISITS)
+        ranks = []
+        for order, other in (orders, orders[::-1]):
+            met = order == other[:, :1]
+            ranks.append(np.where(met.any(axis=1), met.argmax(axis=1) + 1, MOST_VISITS + 1))
+        found, n = np.unique(np.minimum(*ranks), return_counts=True)
+        return dict(zip(found.tolist(), n.tolist()))
+
+    def compare_all(self) -> None:
+        """One cell for all vectors: its blocks compare every pair."""
+        self.books, self.visits, self.recall = [b[:1] for b in self.books], 1, 1.0
+
 
 def sites(embeddings: DataFrame) -> DataFrame:
     """(site, embedding, copies): distinct usable vectors, `site` the smallest vec_id of each."""
@@ -162,7 +183,15 @@ def fit_index(rows: DataFrame, n: int, threshold: float) -> MultiIndex | None:
     counted = (rows.select("site", "embedding").mapInArrow(
         _ranks(index, ids[:FIT_QUERIES], vectors[:FIT_QUERIES], threshold), "rank long, n long")
         .groupBy("rank").agg(F.sum("n").alias("n")).collect())  # a row per rank
-    index.settle({r.rank: r.n for r in counted})
+    reached = {r.rank: r.n for r in counted}
+    index.settle(reached)
+    if sum(reached.values()) < ENOUGH_LINKS:
+        visits, recall = index.visits, index.recall
+        index.settle(index.perturbed(vectors[:FIT_QUERIES], threshold))
+        index.visits = max(visits, index.visits)
+        index.recall = min((r for r in (recall, index.recall) if r is not None), default=None)
+    if index.recall is not None and index.recall < TARGET_RECALL:
+        index.compare_all()  # the most visits are not enough
     return index
 
 
