@@ -25,8 +25,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: fingerprints within two bits or shingle overlap of 0.8."""
-    return simhash.one_of_each(docs, simhash.near_copies).select(*docs.columns)
+    """One document of each group stays that fingerprints within two bits link."""
+    return simhash.one_of_each(docs).select(*docs.columns)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
