@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontamination, language, line_windows, multi_index, packing, resharding, simhash,
-    text_density, toxicity, unit_dedup)
+    text_density, toxicity, unit_dedup, whitening)
 from .common import in_fold, table
 
 OLD_SHARDS = 32
@@ -76,11 +76,17 @@ def op10_mixture_language_id(spark, folder) -> DataFrame:
         F.concat_ws(",", "language.langs").alias("languages"))
 
 
+def op11_refined_whitening(spark, folder) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return whitening.by_component(whitening.with_whitened(vectors, whitening.fit(vectors)))
+
+
 def queries() -> dict:
     import corpus_pipeline
     found = [op1_benchmark_decontamination, op2_simhash_near_dedup, op3_flow_resharding, op4_ftrl_toxicity,
              op5_first_fit_packing, op6_line_window_dedup, op7_unit_dedup, op8_multi_index_near_dedup,
-             op9_text_density_extraction, op10_mixture_language_id]
+             op9_text_density_extraction, op10_mixture_language_id,
+             op11_refined_whitening]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
