@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import sys
+import types
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +54,14 @@ def utf8(column: pa.Array) -> Iterator[bytes | None]:
     return values(column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()))
 
 
+def kept(name: str, make: Callable[[], object]):
+    """What `make` returned for this name in this Python worker, which serves many tasks."""
+    store = sys.modules.setdefault("_kept_by_tasks", types.ModuleType("_kept_by_tasks")).__dict__
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
 def as_long(value: int) -> int:
     """An unsigned 64-bit number as Spark's signed long."""
     return value - (1 << 64) if value >> 63 else value

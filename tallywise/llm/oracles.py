@@ -113,9 +113,44 @@ SELECT vec_id, coalesce(n_links, 0) AS n_links, least(vec_id, coalesce(found.lea
 FROM embeddings LEFT JOIN found ON found.a = vec_id LEFT JOIN n ON n.a = vec_id
 """
 
+COLLOCATIONS = r"""
+WITH doc AS (
+  SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(
+    coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps
+  FROM documents),
+piece AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(ps) AS p FROM doc)),
+place AS (
+  SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+  FROM piece, (VALUES (1), (2), (3), (4)) AS s(m) WHERE len(w) >= m),
+counted AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM place GROUP BY ALL),
+total AS (SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE m = 1 GROUP BY lang),
+often AS (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE f >= 30),
+cut AS (
+  SELECT lang, phrase, f AS a, w, k FROM (SELECT *, unnest(range(1, m)) AS k FROM often WHERE m > 1)),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, 2000000::HUGEINT * a // (x.f + y.f) AS score
+  FROM cut c JOIN often x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:k], ' ')
+  JOIN often y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[k + 1:], ' ')),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrase AS (
+  SELECT lang, f, array_to_string(w[i:i + s - 1], ' ') AS phrase FROM (
+    SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM often WHERE m > 2))),
+covered AS (SELECT lang, phrase, max(f) AS f FROM inner_phrase GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN covered c ON c.lang = b.lang AND c.phrase = b.phrase
+  WHERE c.f IS NULL OR 100 * c.f < 80 * b.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT k.lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked k JOIN total t ON t.lang = k.lang
+WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op1_benchmark_decontamination": DECONTAMINATION,
     "op6_line_window_dedup": LINE_WINDOWS,
     "op7_unit_dedup": UNITS,
     "op8_multi_index_near_dedup": EMBEDDINGS,
+    "op13_suffix_collocations": COLLOCATIONS,
 }

@@ -7,13 +7,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import (
-    decontamination, language, line_windows, multi_index, packing, resharding, simhash,
+    byte_bpe, collocation, decontamination, language, line_windows, multi_index, packing, resharding, simhash,
     text_density, toxicity, unit_dedup, whitening)
 from .common import in_fold, table
 
 OLD_SHARDS = 32
 NEW_SHARDS = 40
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def op1_benchmark_decontamination(spark, folder) -> DataFrame:
@@ -81,12 +82,21 @@ def op11_refined_whitening(spark, folder) -> DataFrame:
     return whitening.by_component(whitening.with_whitened(vectors, whitening.fit(vectors)))
 
 
+def op12_backtracking_bpe(spark, folder) -> DataFrame:
+    ranks = byte_bpe.ranks_of(public_tokenizers.path(RANKS))
+    return byte_bpe.round_trips(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+def op13_suffix_collocations(spark, folder) -> DataFrame:
+    return collocation.collocations(table(spark, folder, "documents"))
+
+
 def queries() -> dict:
     import corpus_pipeline
     found = [op1_benchmark_decontamination, op2_simhash_near_dedup, op3_flow_resharding, op4_ftrl_toxicity,
              op5_first_fit_packing, op6_line_window_dedup, op7_unit_dedup, op8_multi_index_near_dedup,
              op9_text_density_extraction, op10_mixture_language_id,
-             op11_refined_whitening]
+             op11_refined_whitening, op12_backtracking_bpe, op13_suffix_collocations]
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}
 
 
