@@ -48,6 +48,7 @@ SMALL = 8_192
 
 #: A-Z in small letters, marks that end a piece as line feeds, tabs as blanks.
 LETTERS = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
+CODEC = pa.Codec("zstd", 3)
 #: Codes that no word has.
 END, NOTHING = 0, 1
 
@@ -144,7 +145,7 @@ def _holds(bits: np.ndarray, words: list[bytes]) -> np.ndarray:
 
 
 def _suffixes(bits: np.ndarray, hot: dict[str, list[set[bytes]]], tasks: int):
-    """Blocks of distinct suffixes with their counts: (task, lang, depth, words, w1, w2, w3, w4, count).
+    """Blocks of n distinct suffixes with their counts: (task, lang, depth, n, words, suffixes).
 
     `depth` is the number of leading words by which a suffix is dealt: 2, or more after hot phrases.
     """
@@ -177,14 +178,27 @@ def _suffixes(bits: np.ndarray, hot: dict[str, list[set[bytes]]], tasks: int):
                     used, at = np.concatenate([[0], used]), at + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([int(task[part[0]])], pa.int64()), pa.array([lang], pa.string()),
-                     pa.array([int(depth[part[0]])], pa.int32()),
+                     pa.array([int(depth[part[0]])], pa.int32()), pa.array([len(part)], pa.int64()),
                      pa.array([b" ".join(names[c] for c in used[1:])], pa.binary()),
-                     *[pa.array([at[:, k].tobytes()], pa.binary()) for k in range(LONGEST)],
-                     pa.array([count[part].astype(np.int64).tobytes()], pa.binary())],
-                    ["task", "lang", "depth", "words", *[f"w{k + 1}" for k in range(LONGEST)], "count"])
+                     pa.array([_packed(at, count[part])], pa.binary())],
+                    ["task", "lang", "depth", "n", "words", "suffixes"])
     return blocks
 
 
+def _packed(rows: np.ndarray, count: np.ndarray) -> bytes:
+    """Sorted rows and their counts, compressed: steps of the first word, bytes of one weight side by side."""
+    columns = [np.diff(rows[:, 0], prepend=0), *rows[:, 1:].T, count]
+    return CODEC.compress(b"".join(c.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns),
+                          asbytes=True)
+
+
+def _unpacked(packed: bytes, n: int) -> list[np.ndarray]:
+    """The columns of `_packed`: the words of the suffixes, then their counts."""
+    planes = np.frombuffer(CODEC.decompress(packed, 8 * n * (LONGEST + 1)), np.uint8).reshape(LONGEST + 1, 8, n)
+    first, *others = (np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes)
+    return [np.cumsum(first), *others]
+
+
 def _collapsed(rows: np.ndarray, codes: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct rows in order, and how often each occurs."""
     bits = max(1, int(codes).bit_length())
@@ -283,8 +297,8 @@ def _count_group(rows: pa.Table) -> pa.Table:
             names = row["words"].split(b" ")
             code = np.fromiter((words.setdefault(w, len(words)) for w in names), np.int64, len(names))
             code = np.concatenate([[0], code])
-            parts.append([code[np.frombuffer(row[f"w{k + 1}"], np.int32)] for k in range(LONGEST)]
-                         + [np.frombuffer(row["count"], np.int64)])
+            *words_of, count = _unpacked(row["suffixes"], row["n"])
+            parts.append([code[w] for w in words_of] + [count])
         *columns, weight = (np.concatenate(c) for c in zip(*parts))
         names = list(words)
         for size, at, count in counted_prefixes(columns, weight, LEAST, depth):
@@ -317,7 +331,7 @@ def phrase_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bits = _filter(words.where(F.col("count") >= LEAST).select("phrase").distinct())
     blocks = texts.mapInArrow(
         _suffixes(bits, hot, tasks),
-        "task long, lang string, depth int, words binary, w1 binary, w2 binary, w3 binary, w4 binary, count binary")
+        "task long, lang string, depth int, n long, words binary, suffixes binary")
     found = blocks.groupBy("task").applyInArrow(_count_group, COUNTS)
     # Phrases of one task come once, beginnings of hot ones from several.
     phrases = cut_lineage(found.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
