@@ -48,7 +48,7 @@ SMALL = 8_192
 
 #: A-Z in small letters, marks that end a piece as line feeds, tabs as blanks.
 LETTERS = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
-CODEC = pa.Codec("zstd", 3)
+CODEC = "zstd"
 #: Codes that no word has.
 END, NOTHING = 0, 1
 
@@ -188,13 +188,13 @@ def _suffixes(bits: np.ndarray, hot: dict[str, list[set[bytes]]], tasks: int):
 def _packed(rows: np.ndarray, count: np.ndarray) -> bytes:
     """Sorted rows and their counts, compressed: steps of the first word, bytes of one weight side by side."""
     columns = [np.diff(rows[:, 0], prepend=0), *rows[:, 1:].T, count]
-    return CODEC.compress(b"".join(c.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns),
-                          asbytes=True)
+    planes = b"".join(c.astype(np.int64).view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    return pa.compress(planes, CODEC, asbytes=True)
 
 
 def _unpacked(packed: bytes, n: int) -> list[np.ndarray]:
     """The columns of `_packed`: the words of the suffixes, then their counts."""
-    planes = np.frombuffer(CODEC.decompress(packed, 8 * n * (LONGEST + 1)), np.uint8).reshape(LONGEST + 1, 8, n)
+    planes = np.frombuffer(pa.decompress(packed, 8 * n * (LONGEST + 1), CODEC), np.uint8).reshape(LONGEST + 1, 8, n)
     first, *others = (np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes)
     return [np.cumsum(first), *others]
 
