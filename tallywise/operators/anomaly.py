@@ -32,7 +32,7 @@ MAX_DEPTH = 30
 
 # -- isolation forest -------------------------------------------------------------------------
 
-def _path_length(n: float) -> float:
+def expected_depth(n: float) -> float:
     """Mean depth of an unsuccessful search among n rows."""
     if n <= 1:
         return 0.0
@@ -40,18 +40,18 @@ def _path_length(n: float) -> float:
 
 
 def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
-    """Nodes (node, feature, threshold, depth): heap numbering, a leaf has feature -1."""
+    """Nodes (node, feature, threshold, depth, rows): heap numbering, a leaf has feature -1."""
     nodes, todo = [], [(1, x, 0)]
     while todo:
         node, part, depth = todo.pop()
         low, high = (part.min(0), part.max(0)) if len(part) else (None, None)
         open_dims = np.flatnonzero(high > low) if len(part) > 1 and depth < limit else []
         if not len(open_dims):
-            nodes.append((node, -1, 0.0, depth + _path_length(len(part))))
+            nodes.append((node, -1, 0.0, depth + expected_depth(len(part)), len(part)))
             continue
         f = int(rng.choice(open_dims))
         cut = float(rng.uniform(low[f], high[f]))
-        nodes.append((node, f, cut, float(depth)))
+        nodes.append((node, f, cut, float(depth), len(part)))
         left = part[:, f] <= cut
         todo += [(2 * node, part[left], depth + 1), (2 * node + 1, part[~left], depth + 1)]
     return nodes
@@ -59,7 +59,7 @@ def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
 
 def fit_isolation_forest(df: DataFrame, seed: int = 42, trees: int = TREES,
                          rows_per_tree: int = ROWS_PER_TREE) -> DataFrame:
-    """Node table (tree, node, feature, threshold, depth): at most trees * 2 * rows_per_tree rows.
+    """Node table (tree, node, feature, threshold, depth, rows): at most trees * 2 * rows_per_tree rows.
 
     Every tree draws each row by its own key hash with one probability, about rows_per_tree rows
     in all, and grows in its own task. A forest sees at most about trees * rows_per_tree rows.
@@ -75,12 +75,12 @@ def fit_isolation_forest(df: DataFrame, seed: int = 42, trees: int = TREES,
         tree = int(pdf["tree"].iloc[0])
         x = np.stack(pdf.sort_values("id")["vec"].to_list()).astype(float)
         nodes = _grow(x, np.random.default_rng([seed, tree]), limit)
-        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "depth"])
+        out = pd.DataFrame(nodes, columns=["node", "feature", "threshold", "depth", "rows"])
         out.insert(0, "tree", tree)
         return out
 
     return picked.select("tree", "id", "vec").groupBy("tree").applyInPandas(
-        grow, "tree int, node long, feature int, threshold double, depth double")
+        grow, "tree int, node long, feature int, threshold double, depth double, rows long")
 
 
 def forest_score(df: DataFrame, forest: DataFrame, rows_per_tree: int = ROWS_PER_TREE,
@@ -95,7 +95,7 @@ def forest_score(df: DataFrame, forest: DataFrame, rows_per_tree: int = ROWS_PER
     where = (at, nodes["node"].to_numpy())
     feature[where], cut[where], depth[where] = nodes["feature"], nodes["threshold"], nodes["depth"]
     model = df.sparkSession.sparkContext.broadcast((feature, cut, depth))
-    expected = _path_length(rows_per_tree)
+    expected = expected_depth(rows_per_tree)
 
     @F.pandas_udf("double")
     def score(vecs: pd.Series) -> pd.Series:

@@ -11,7 +11,6 @@ from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
 from pyspark.errors import PySparkException
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +20,14 @@ from ..functions.quantiles import unpivot
 from ..functions.scalar import ratio_or_one
 from ..functions.vectors import euclidean, squared_distance
 from ..session import cut_lineage
-from .neighbours import dbscan
+from .density import dbscan
+from .neighbours import dbscan as grid_dbscan
 from .relational import best_by
 
 NOISE = -1
 #: Centres compared with each other in one task, on either side.
 CENTER_BLOCK = 512
-#: Dimensions in which density clusters are looked for; wider vectors are projected first.
+#: Widest vectors whose density clusters are looked up on a grid.
 GRID_DIMS = 3
 MAX_ITER = 300
 
@@ -179,18 +179,11 @@ def silhouette(df: DataFrame) -> float | None:
     return float(ClusteringEvaluator().evaluate(kept))
 
 
-def grid_vectors(df: DataFrame, d: int) -> tuple[DataFrame, int]:
-    """(id, vec) in at most GRID_DIMS dimensions: the first principal components of wider vectors."""
+def density_clusters(df: DataFrame, d: int, eps: float, min_samples: int) -> DataFrame:
+    """(id, cluster_id, is_core), exact at any width; narrow vectors are looked up on a grid."""
     if d <= GRID_DIMS:
-        return df, d
-    data = _ml(df)
-    model = PCA(k=GRID_DIMS, inputCol="features", outputCol="pc").fit(data)
-    return model.transform(data).select("id", vector_to_array("pc").alias("vec")), GRID_DIMS
-
-
-def grid_dbscan(df: DataFrame, d: int, eps: float, min_samples: int) -> DataFrame:
-    flat, m = grid_vectors(df, d)
-    return dbscan(flat, "id", eps, m, min_samples)
+        return grid_dbscan(df, "id", eps, d, min_samples)
+    return dbscan(df, "id", eps, min_samples)
 
 
 def compare_methods(df: DataFrame, d: int, k: int = 5, eps: float = 0.5, min_samples: int = 5,
@@ -203,7 +196,7 @@ def compare_methods(df: DataFrame, d: int, k: int = 5, eps: float = 0.5, min_sam
     """
     runs = {"kmeans": lambda: kmeans(df, k, restarts), "hierarchical": lambda: bisecting_kmeans(df, k),
             "gaussian_mixture": lambda: gaussian_mixture(df, k),
-            "dbscan": lambda: grid_dbscan(df, d, eps, min_samples)}
+            "dbscan": lambda: density_clusters(df, d, eps, min_samples)}
     labels, rows = None, []
     for method, run in runs.items():
         try:

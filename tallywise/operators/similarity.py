@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import math
 
-
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +18,14 @@ from ..functions import keyed
 from ..functions.vectors import dot, unit
 from ..session import cut_lineage
 from .neighbours import eps_pairs, sites, widest_dims
+from .pivots import (
+    BLOCK_ROWS, cells_of, choose_pivots, exact_distances, in_blocks, matrix, nearest_holding, reached, with_cell)
 from .relational import rank_within
 
 COSINE, EUCLIDEAN = "cosine", "euclidean"
 _DIGITS = 12  # distances are ordered after rounding, so that equal vectors tie by id
+#: Coordinates of the grid that pairs of narrow vectors are looked up in.
+GRID_WIDTH = 3
 #: Pairs recomputed, and queries compared with a block, in one array.
 _AT_ONCE, _QUERIES_AT_ONCE = 1 << 18, 512
 
@@ -78,27 +82,6 @@ def _with_rank(hits: DataFrame, k: int, metric: str) -> DataFrame:
     return ranked.withColumn("similarity_score", score)
 
 
-def _knn_few(base: DataFrame, queries: list, k: int, metric: str) -> DataFrame:
-    """Base rows stay where they are; the checked, small query block travels to them."""
-    spark = base.sparkSession
-    ids = np.array([r[0] for r in queries], dtype=np.int64)
-    block = spark.sparkContext.broadcast((ids, _stack([r[1] for r in queries])))
-
-    def search(batches):
-        q_ids, q_vecs = block.value
-        best = None
-        for pdf in batches:
-            if len(pdf):
-                found = _k_best(q_ids, q_vecs, pdf["id"].to_numpy(), _stack(pdf["vec"]), k, metric)
-                best = found if best is None else pd.concat([best, found])
-                best = best.sort_values(["query_id", "distance", "similar_id"]).groupby(
-                    "query_id").head(k)
-        if best is not None:
-            yield best
-
-    return base.mapInPandas(search, _HITS)
-
-
 def _knn_blocks(base: DataFrame, queries: DataFrame, groups: list[str], k: int, metric: str,
                 block_rows: int) -> DataFrame:
     """The k best within each group, blocks of queries against blocks of base rows.
@@ -130,24 +113,60 @@ def _knn_blocks(base: DataFrame, queries: DataFrame, groups: list[str], k: int,
 
 
 def knn(base: DataFrame, queries: DataFrame, k: int = 10, metric: str = COSINE,
-        few: int = 5_000, block_rows: int = 5_000) -> DataFrame:
+        block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, similar_id, distance, rank, similarity_score), exact.
 
-    Both frames are (id bigint, vec array<double>). Up to `few` queries are sent to the base
-    partitions, counted before; more run as blocks against blocks.
+    Both frames are (id bigint, vec array<double>) of one width. Base rows are dealt to cells around
+    pivots. A query first searches the nearest cells that hold k other rows; the distance of the k-th of
+    them bounds how far it looks, and only further cells within that bound are searched as well.
     """
-    head = queries.select("id", "vec").limit(few + 1).collect()
-    if not head:
-        hits = base.sparkSession.createDataFrame([], _HITS)
-    elif len(head) <= few:
-        hits = _knn_few(base.select("id", "vec"), head, k, metric)
-    else:
-        one = F.lit(0).alias("g")
-        hits = _knn_blocks(base.select("id", "vec", one), queries.select("id", "vec", one), ["g"],
-                           k, metric, block_rows)
+    spots = cut_lineage(_spotted(base, metric))
+    n = spots.count()
+    if not n:
+        return _with_rank(base.sparkSession.createDataFrame([], _HITS), k, metric)
+    pivots = choose_pivots(spots, "id", n, "spot")
+    located = cut_lineage(with_cell(spots, pivots, "spot").select("id", "vec", "cell", "gap"))
+    cells = cells_of(located, pivots)
+    asks = cut_lineage(_spotted(queries, metric).withColumn(
+        "first", nearest_holding(cells, F.col("spot"), k + 1)))
+    near = cut_lineage(_searched(located, asks.withColumn("cell", F.explode("first")), k, metric, block_rows))
+    ranked = rank_within(near, ["query_id"], ["distance", "similar_id"]).where(F.col("rank") <= k)
+    kth = ranked.groupBy(F.col("query_id").alias("id")).agg(F.max("distance").alias("kth"), F.count("*").alias("n"))
+    # Cosine distance c is half the squared distance of unit vectors; distances are rounded.
+    bound = F.sqrt(2.0 * (F.col("kth") + 1e-11)) if metric == COSINE else F.col("kth") + 1e-11
+    known = asks.join(kth, "id", "left").withColumn(
+        "bound", F.when(F.col("n") >= k, bound).otherwise(F.lit(float("inf"))))
+    further = cut_lineage(known.withColumn("cell", F.explode(F.array_except(
+        reached(cells, F.col("spot"), F.col("bound")), F.col("first")))).select("id", "vec", "cell"))
+    hits = near.union(_searched(located, further, k, metric, block_rows))
     return _with_rank(hits, k, metric)
 
 
+def _spotted(df: DataFrame, metric: str) -> DataFrame:
+    """(id, vec, spot): what distances are bounded on, for cosine the unit vector (of a zero vector itself)."""
+    if metric != COSINE:
+        return df.select("id", "vec", F.col("vec").alias("spot"))
+
+    def to_unit(vectors: pa.Array) -> pa.Array:
+        if not len(vectors):
+            return pa.array([], pa.list_(pa.float64()))
+        x = matrix(vectors)
+        length = np.linalg.norm(x, axis=1, keepdims=True)
+        x = np.divide(x, length, out=np.zeros_like(x), where=length > 0)
+        ends = np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(x.ravel()))
+    return df.select("id", "vec", F.arrow_udf(to_unit, "array<double>")(F.col("vec")).alias("spot"))
+
+
+def _searched(located: DataFrame, visits: DataFrame, k: int, metric: str, block_rows: int) -> DataFrame:
+    """The k best of each block that a query visits."""
+    def search(asks: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        return _k_best(asks["id"].to_numpy(), _stack(asks["vec"]), there["id"].to_numpy(), _stack(there["vec"]),
+                       k, metric)
+    return in_blocks(visits.select("id", "vec", "cell"), located.select("id", "vec", "cell"), search, _HITS,
+                     "cell", "id", "id", block_rows)
+
+
 def hash_buckets(df: DataFrame, d: int, tables: int = 4, bits: int = 8,
                  salt: str = "lsh") -> DataFrame:
     """(id, vec, g): one bucket name per table from the signs of hashed random projections."""
@@ -194,6 +213,36 @@ def knn_new_users(df: DataFrame, k: int = 10, metric: str = COSINE) -> DataFrame
     return hits.join(flags, "similar_id")
 
 
+def visits_within(s: DataFrame, eps: float) -> tuple[DataFrame, DataFrame]:
+    """(visits, located) of sites: where each has to be compared to meet all sites within `eps`, and where each is.
+
+    Of two cells only the later one is visited, so a pair meets once.
+    """
+    n = s.count()
+    pivots = choose_pivots(s, "site", max(1, n))
+    if not len(pivots):
+        none = s.select("site", "vec", F.lit(0).alias("cell"))
+        return none.withColumn("home", F.col("cell")), none
+    located = cut_lineage(with_cell(s, pivots).select("site", "vec", "cell", "gap"))
+    cells = cells_of(located, pivots)
+    there = F.filter(reached(cells, F.col("vec"), F.lit(float(eps))), lambda c: c >= F.col("cell"))
+    visits = cut_lineage(located.select("site", "vec", F.col("cell").alias("home"), there.alias("there")).select(
+        "site", "vec", "home", F.explode("there").alias("cell")))
+    return visits, located.select("site", "vec", "cell")
+
+
+def wide_pairs(s: DataFrame, eps: float) -> DataFrame:
+    """(id_a, id_b, distance): all pairs of sites (site, vec) at Euclidean distance <= eps, at any width."""
+    def compare(asks: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
+        gap = exact_distances(_stack(asks["vec"]), _stack(there["vec"]), eps)
+        a, b = asks["site"].to_numpy(), there["site"].to_numpy()
+        early = (asks["home"].to_numpy() != asks["cell"].to_numpy())[:, None] | (a[:, None] < b[None, :])
+        i, j = np.nonzero((gap <= eps) & early)
+        return pd.DataFrame({"id_a": np.minimum(a[i], b[j]), "id_b": np.maximum(a[i], b[j]), "distance": gap[i, j]})
+    visits, located = visits_within(s, eps)
+    return in_blocks(visits, located, compare, "id_a long, id_b long, distance double", "cell", "site", "site")
+
+
 def similarity_join(df: DataFrame, threshold: float, d: int, metric: str = COSINE) -> DataFrame:
     """(id_a, id_b, n_a, n_b, similarity): pairs of distinct vectors at least this similar.
 
@@ -209,8 +258,8 @@ def similarity_join(df: DataFrame, threshold: float, d: int, metric: str = COSIN
     else:
         eps = 1.0 / threshold - 1.0
     s = cut_lineage(sites(df, "id"))
-    dims = widest_dims(s, d)
-    pairs = eps_pairs(s, "site", eps * (1.0 + 1e-9) + 1e-9, dims)
+    reach = eps * (1.0 + 1e-9) + 1e-9
+    pairs = eps_pairs(s, "site", reach, widest_dims(s, d)) if d <= GRID_WIDTH else wide_pairs(s, reach)
     if metric == COSINE:
         pairs = pairs.withColumn("similarity", F.lit(1.0) - F.col("distance") ** 2 / 2)
     else:

@@ -13,6 +13,7 @@ from ..operators import anomaly as an
 from ..operators import clustering as cl
 from ..operators import similarity as sim
 from ..operators import transforms as tr
+from ..operators.contributions import isolation_trees, tree_contributions
 from ..session import cut_lineage, work_path
 from . import analyses
 from . import sqltext as S
@@ -220,21 +221,22 @@ def supervised_forest(spark, d):
                        (right >= 0.95).alias("is_accurate"))
 
 
-@query("k6_explain_contributions", "select unnest([" + ", ".join(
-    f"'{c}'" for c in C.ANOMALY_FEATURES) + "]) as feature, true as adds_up, true as in_every_row")
+@query("k6_explain_contributions", S.with_("feats", "select feature, (select count(*) from feats) as n_rows, "
+       "0.0::double as largest_gap from (select unnest([" + ", ".join(f"'{c}'" for c in C.ANOMALY_FEATURES)
+       + "]) as feature)"))
 def explain(spark, d):
-    """Contributions of a row add up to its score less that of its background, for each flagged row."""
+    """Contributions of every row, and by how much they and the base miss the row's mean depth."""
     vectors = anomaly_vectors(spark, d)
     size = an.tree_rows(vectors)
     forest = cut_lineage(an.fit_isolation_forest(vectors, rows_per_tree=size))
-    rows = cut_lineage(an.flag_lowest(an.forest_score(vectors, forest, size), "raw_score", 0.1).where("is_anomaly"))
-    score = lambda df: an.forest_score(df, forest, size).withColumnRenamed("raw_score", "score")
-    parts = cut_lineage(an.shapley_contributions(rows, vectors, C.ANOMALY_FEATURES, score))
-    sums = parts.groupBy("id").agg((F.sum("contribution") + F.avg("base")).alias("s")).join(
-        rows.select("id", "raw_score"), "id")
-    off = sums.agg(F.max(F.abs(F.col("s") - F.col("raw_score")))).scalar()
-    return parts.groupBy("feature").agg((F.first(off) <= 1e-9).alias("adds_up"), (
-        F.count("*") == F.first(rows.agg(F.count("*")).scalar())).alias("in_every_row"))
+    parts = cut_lineage(tree_contributions(vectors, isolation_trees(forest), C.ANOMALY_FEATURES))
+    expected = an.expected_depth(size)
+    depth = an.forest_score(vectors, forest, size).select(
+        "id", (-F.log2(-F.col("raw_score")) * F.lit(expected)).alias("depth"))
+    gap = parts.groupBy("id").agg((F.sum("contribution") + F.max("base")).alias("sum")).join(depth, "id").agg(
+        F.max(F.abs(F.col("sum") - F.col("depth"))))
+    return parts.groupBy("feature").agg(F.count("*").alias("n_rows")).withColumn(
+        "largest_gap", F.round(gap.scalar(), 9))
 
 
 @query("l5_knn_lsh", f"""with {EMB}

@@ -5,14 +5,16 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..operators import anomaly as an
 from ..operators import clustering as cl
+from ..operators import density
 from ..operators import neighbours as nb
 from ..operators import relational as rel
 from ..operators import reports as rep
 from ..operators import similarity as sim
 from ..operators.synth import with_user_age
 from . import sqltext as S
-from .inputs import feats, ltx, rounded, tx, users
-from .model_inputs import EMB, FLAGGED, HITS, embedded, plane, plane_sql, with_new_flag
+from ..session import cut_lineage
+from .inputs import feats, lfeats, ltx, rounded, tx, users
+from .model_inputs import EMB, FLAGGED, HITS, embedded, plane, plane_sql, scaled_vectors, with_new_flag
 from .registry import query
 
 # -- range join and density -------------------------------------------------------------------
@@ -53,6 +55,43 @@ def dbscan(spark, d):
     return nb.dbscan(plane(spark, d), "id", 0.3, 2, 5)
 
 
+def _wide_sql(points: str, eps: float) -> str:
+    """Density clusters of `points` (id, v) by all pairs of distinct vectors, five points within `eps` being dense."""
+    return f"""{points},
+sites as (select v, min(id) as id, count(*) as weight from points group by v),
+near as (select a.id as a, b.id as b, b.weight from sites a join sites b on list_distance(a.v, b.v) <= {eps}::double),
+cores as (select a as id from near group by a having sum(weight) >= 5),
+links as (select a, b from near where a in (select id from cores) and b in (select id from cores)),
+recursive_reach as (select id as a, id as b from cores union
+  select r.a, l.b from recursive_reach r join links l on r.b = l.a),
+roots as (select a as id, min(b) as cluster_id from recursive_reach group by a),
+border as (select n.a as id, min(r.cluster_id) as cluster_id from near n join roots r on n.b = r.id
+  where n.a not in (select id from cores) group by n.a),
+named as (select id, cluster_id, true as is_core from roots union all select id, cluster_id, false from border)
+select p.id, coalesce(n.cluster_id, -1) as cluster_id, coalesce(n.is_core, false) as is_core
+from points p join sites s using (v) left join named n on n.id = s.id"""
+
+
+@query("j5_dbscan_embeddings", "with recursive " + _wide_sql(
+    "points as (select vec_id as id, embedding::double[] as v from embeddings)", 0.6))
+def dbscan_embeddings(spark, d):
+    return density.dbscan(embedded(spark, d).select("id", "vec"), "id", 0.6)
+
+
+_FEATURE_ROWS = ", ".join(
+    f"coalesce(({c} - avg({c}) over ()) / nullif(stddev_pop({c}) over (), 0), {c} - avg({c}) over ())::double"
+    for c in C.ANOMALY_FEATURES)
+
+
+_WIDE_ROWS, _WIDE_LABELS = _wide_sql(f"points as (select user_id as id, [{_FEATURE_ROWS}] as v from lfeats)", 1.0).split(
+    "\nselect p.id", 1)
+
+
+@query("j5_dbscan_features", S.with_("lfeats", "select p.id" + _WIDE_LABELS, extra=_WIDE_ROWS))
+def dbscan_features(spark, d):
+    return density.dbscan(scaled_vectors(cut_lineage(lfeats(spark, d)), C.ANOMALY_FEATURES), "id", 1.0)
+
+
 @query("j6_density_score", plane_sql("""
 select p.id, case when k.dist <= 0.6::double then round(k.dist, 6) end as core_distance,
   coalesce(k.dist > 0.6::double, true) as is_sparse
@@ -373,7 +412,7 @@ def knn_exact(spark, d):
   from emb q, emb b where q.id <> b.id) where rank <= 5) select {_KNN_COLS} from hits""")
 def knn_all(spark, d):
     f = embedded(spark, d)
-    return _knn_out(sim.knn(f, f, 5, few=100, block_rows=200))
+    return _knn_out(sim.knn(f, f, 5, block_rows=200))
 
 
 @query("l2_knn_metric_euclidean", f"""with {FLAGGED}, hits as (select * from (select q.id as query_id, b.id as similar_id,
@@ -431,6 +470,14 @@ def similarity_join_euclidean(spark, d):
     return rounded(sim.similarity_join(triple(spark, d), 0.7, 3, sim.EUCLIDEAN))
 
 
+@query("l4_similarity_join_wide", f"""with {EMB}, sites as (select v, min(id) as id, count(*) as w from emb group by v)
+select a.id as id_a, b.id as id_b, a.w as n_a, b.w as n_b, round(list_cosine_similarity(a.v, b.v), 6) as similarity
+from sites a join sites b on a.id < b.id where list_cosine_similarity(a.v, b.v) >= 0.9::double - 1e-9
+union all select id, id, w, w, 1.0::double from sites where w > 1""")
+def similarity_join_wide(spark, d):
+    return rounded(sim.similarity_join(embedded(spark, d).select("id", "vec"), 0.9, 64))
+
+
 @query("l6_similarity_stats", _hits_sql("""
 select count(*) as total_comparisons, round(avg(s), 6) as mean_similarity, round(stddev_pop(s), 6) as std_similarity,
   round(min(s), 6) as min_similarity, round(max(s), 6) as max_similarity,

@@ -83,8 +83,7 @@ def test_components_of_a_long_chain(spark):
 
 
 @pytest.mark.parametrize("metric", [sim.COSINE, sim.EUCLIDEAN])
-@pytest.mark.parametrize("few", [5_000, 10])
-def test_knn_both_paths(spark, metric, few):
+def test_knn(spark, metric):
     x = points(6, 240)
     if metric == sim.COSINE:
         unit = x / np.linalg.norm(x, axis=1)[:, None]
@@ -94,7 +93,7 @@ def test_knn_both_paths(spark, metric, few):
     np.fill_diagonal(dist, np.inf)
     df = frame(spark, x)
     queries = df.where("id < 40")
-    got = sim.knn(df, queries, 7, metric, few=few, block_rows=50).toPandas()
+    got = sim.knn(df, queries, 7, metric, block_rows=50).toPandas()
     got = got.sort_values(["query_id", "rank"])
     assert len(got) == 40 * 7
     want = np.sort(dist[:40], axis=1)[:, :7]
