@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators import features as feat
-from ..session import work_path
+from ..session import rename, work_path
 from ..sources import sinks, tables
 from ..streaming import jobs
 from . import sqltext as S
@@ -213,13 +213,22 @@ def stage_completeness(spark, d):
 
 @query("p4_idempotent_batch_write", S.with_("tx", f"select {', '.join(_TX)} from tx"))
 def idempotent_batch_write(spark, d):
-    source, state = _files(spark, d, "chunks"), work_path(spark, "batches")
-    stream = lambda files: spark.readStream.schema(tx(spark, d).schema).option(
-        "maxFilesPerTrigger", files).parquet(source)
-    # A second run with a fresh checkpoint and larger batches replays every file onto its partition.
+    """Files of equal names in two folders; a second run with a fresh checkpoint and larger batches replays them."""
+    state, t = work_path(spark, "batches"), tx(spark, d)
+    first = F.pmod(F.xxhash64("transaction_id"), F.lit(2)) == 0
+    for folder, part in (("a", first), ("b", ~first)):
+        t.where(part).coalesce(1).write.parquet(f"{state}/pending-{folder}")
+        rename(spark, part_file(spark, f"{state}/pending-{folder}"), f"{state}/source/{folder}/part-0.parquet")
+    stream = lambda files: spark.readStream.schema(t.schema).option("maxFilesPerTrigger", files).option(
+        "recursiveFileLookup", True).parquet(f"{state}/source")
     for run, files in (("/first", 1), ("/replay", 2)):
         jobs.idempotent_batches(stream(files), state + "/table", state + run)
-    return spark.read.parquet(state + "/table").drop("source_file")
+    return jobs.committed_rows(spark, state + "/table", t.schema)
+
+
+def part_file(spark, folder: str) -> str:
+    """The one data file of a folder."""
+    return spark.read.parquet(folder).select("_metadata.file_path").first()[0]
 
 
 _RULES = ["rule_location", "rule_age_amount", "rule_time", "rule_amount", "rule_noise_type"]

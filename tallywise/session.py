@@ -70,6 +70,15 @@ def delete(spark: SparkSession, folder: str) -> None:
     system.delete(path, True)
 
 
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    """Move a folder, in one step where the file system can; its parent is made if there is none."""
+    system, source = _located(spark, old)
+    target = spark._jvm.org.apache.hadoop.fs.Path(new)
+    system.mkdirs(target.getParent())
+    if not system.rename(source, target):
+        raise OSError(f"{old} could not be renamed to {new}")
+
+
 def release(*stored) -> None:
     """Delete the tables behind frames that `cut_lineage` returned, once nothing reads them any more."""
     for df in stored:

@@ -6,13 +6,16 @@ names the touched users and their features are computed again from the stored hi
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.anomaly import rule_flags
 from ..operators.features import missing_features, user_features
 from ..operators.synth import with_user_age
-from ..session import cut_lineage, delete, exists, release
+from ..session import cut_lineage, delete, exists, release, rename
 from ..sources.sinks import write_partitions
 
 
@@ -29,19 +32,50 @@ def _run(writer) -> None:
 
 
 def idempotent_batches(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Write the rows of every source file to its own `source_file` partition.
+    """Write the rows of every source file once, whatever the batch limits and the order of arrival.
 
-    A file is never split between micro-batches, so a replay replaces what it wrote whatever the
-    batch limits and the order of arrival. `stream` reads files.
+    A source is named by the hash of its whole path, so equal names in two folders stay apart, and is
+    never split between micro-batches. A batch writes its sources under a name of its own and then
+    renames a manifest of them into place; rows whose manifest is not there are not visible, so a
+    write that is cut short leaves nothing. A replayed source gets another version, of which
+    `committed_rows` shows the last. `stream` reads files.
     """
-    named = stream.select("*", F.col("_metadata.file_name").alias("source_file"))
+    named = stream.select("*", F.sha2(F.col("_metadata.file_path"), 256).alias("source"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_partitions(batch, path, ["source_file"])
+        spark, version = batch.sparkSession, f"{batch_id:012d}-{uuid.uuid4().hex}"
+        batch.withColumn("version", F.lit(version)).write.mode("append").partitionBy(
+            "version", "source").parquet(f"{path}/rows")
+        sources = batch.select("source").distinct().withColumn("version", F.lit(version))
+        sources.coalesce(1).write.json(f"{path}/pending/{version}")
+        rename(spark, f"{path}/pending/{version}", f"{path}/manifest/{version}")
 
     _run(named.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint))
 
 
+_MANIFEST = "source string, version string"
+
+
+def committed_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows that `idempotent_batches` made visible, of every source its last version."""
+    if not exists(spark, f"{path}/manifest"):
+        return spark.createDataFrame([], schema)
+    last = spark.read.schema(_MANIFEST).json(f"{path}/manifest/*").groupBy("source").agg(
+        F.max("version").alias("version"))
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("version", T.StringType()),
+                                           T.StructField("source", T.StringType())])).parquet(f"{path}/rows")
+    return rows.join(last, ["source", "version"], "left_semi").select(*schema.names)
+
+
+def drop_superseded(spark: SparkSession, path: str) -> None:
+    """Delete what no manifest shows: versions that were replayed or cut short. Not while a batch is being written."""
+    shown = spark.read.schema(_MANIFEST).json(f"{path}/manifest/*").groupBy("source").agg(
+        F.max("version").alias("version"))
+    there = spark.read.parquet(f"{path}/rows").select("version", "source").distinct()
+    for row in there.join(shown, ["version", "source"], "left_anti").toLocalIterator():
+        delete(spark, f"{path}/rows/version={row['version']}/source={row['source']}")
+
+
 def refresh_features(spark: SparkSession, stream: DataFrame, users: DataFrame, history_path: str,
                      features_path: str, checkpoint: str, buckets: int = 16) -> None:
     """Pick up new transaction files, extend the history and refresh the touched users.
