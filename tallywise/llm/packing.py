@@ -24,14 +24,14 @@ from pyspark.sql import functions as F
 
 from tallywise.session import cut_lineage
 
-from .common import slices
+from .common import kept, slices
 
 LENGTH = 4_096
 END_ID = 2
 #: Pieces a group packs on its own; the last, emptier bins of a group are what small groups waste.
 PIECES_PER_GROUP = 4_096
-#: Distinct chunks of text whose ids a Python worker remembers, then it starts afresh.
-REMEMBERED = 200_000
+#: Distinct chunks, and words, whose ids a Python worker remembers from task to task; as many older ones are at hand.
+REMEMBERED = 300_000
 #: Latin-1 letters, and marks that no tokenizer of this kind parts or names.
 LATIN = re.compile(r"[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+")
 MARKS = ".,;:!?%&$#*+()/-"
@@ -56,6 +56,8 @@ class ChunkTokenizer(dict):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
         self.model, self.words, self.direct = self.whole.model, {}, True
+        self.older: dict[str, bytes] = {}
+        self.older_words: dict[str, bytes] = {}
         self.direct = all(self[w] == self._any(w) for w in PROBES)
         self.clear()
 
@@ -67,15 +69,23 @@ class ChunkTokenizer(dict):
         word = word.lower()
         found = self.words.get(word)
         if found is None:
-            plain = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
-            found = self.words[word] = _packed([t.id for t in self.model.tokenize(plain)])
+            found = self.older_words.get(word)
+            if found is None:
+                plain = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+                found = _packed([t.id for t in self.model.tokenize(plain)])
+            if len(self.words) >= REMEMBERED:
+                self.older_words, self.words = self.words, {}
+            self.words[word] = found
         return found
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= REMEMBERED:
+            self.older = dict(self)
             self.clear()
-        if len(self.words) >= REMEMBERED:
-            self.words.clear()
+        found = self.older.get(chunk)
+        if found is not None:
+            self[chunk] = found
+            return found
         word = chunk.rstrip(MARKS)
         if self.direct and word and (word.isascii() and word.isalpha() or LATIN.fullmatch(word)):
             found = self._word(word)
@@ -102,7 +112,7 @@ def _pieces(path: str, length: int, with_ids: bool):
     end = END_ID.to_bytes(4, "little")
 
     def pieces(batches):
-        tokenizer = ChunkTokenizer(path)
+        tokenizer = kept(f"chunks {path}", lambda: ChunkTokenizer(path))
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * with_ids
         kinds = [pa.int64()] * 5 + [pa.binary()] * with_ids
         for batch in slices(batches):
