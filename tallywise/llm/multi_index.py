@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallywise.session import cut_lineage
+from tallywise.session import cut_lineage, release
 
 from .common import components
 from .simhash import merge_labels
@@ -297,22 +297,27 @@ def _blocks(rows: DataFrame) -> DataFrame:
             .drop("parts", "turns"))
 
 
+def _found(rows: DataFrame, n: int, threshold: float, element: str) -> DataFrame:
+    """(kind, site, value) of `_searched` for the vectors of one width."""
+    index = fit_index(rows, n, threshold)
+    spread = rows.select("site", "copies", "embedding").mapInArrow(
+        _listed(index), f"cell long, role int, site long, copies long, embedding {element}, visited array<long>")
+    stored = cut_lineage(spread)
+    found = cut_lineage(
+        _blocks(stored).repartition("cell", "part", "turn").sortWithinPartitions("cell", "part", "turn", "role")
+        .mapInArrow(_searched(threshold), "kind int, site long, value long"))
+    release(stored)
+    return found
+
+
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row of `embeddings` (vec_id, embedding)."""
     rows = cut_lineage(sites(embeddings))
-    width = rows.groupBy(F.size("embedding").alias("w")).count().orderBy(F.desc("count"), "w").first()
-    rows = rows.where(F.size("embedding") == (width.w if width else 0))
-    index = fit_index(rows, width["count"] if width else 0, threshold)
-    if index is None:
-        found = embeddings.sparkSession.createDataFrame([], "kind int, site long, value long")
-    else:
-        element = embeddings.schema["embedding"].dataType.simpleString()
-        spread = rows.select("site", "copies", "embedding").mapInArrow(
-            _listed(index), f"cell long, role int, site long, copies long, embedding {element}, visited array<long>")
-        blocks = _blocks(cut_lineage(spread))
-        found = cut_lineage(
-            blocks.repartition("cell", "part", "turn").sortWithinPartitions("cell", "part", "turn", "role")
-            .mapInArrow(_searched(threshold), "kind int, site long, value long"))
+    element = embeddings.schema["embedding"].dataType.simpleString()
+    found = embeddings.sparkSession.createDataFrame([], "kind int, site long, value long")
+    # Vectors of different widths have no cosine; each width has an index of its own.
+    for width in rows.groupBy(F.size("embedding").alias("w")).count().where("count > 1").orderBy("w").collect():
+        found = found.union(_found(rows.where(F.size("embedding") == width.w), width["count"], threshold, element))
     counts = found.where("kind = 0").groupBy("site").agg(F.sum("value").alias("others"))
     groups = components(found.where("kind = 1").select(F.col("site").alias("a"), F.col("value").alias("b")))
     named = (rows.select("site", "copies", "embedding").join(counts, "site", "left")

@@ -75,3 +75,13 @@ def test_edges(spark):
     assert M.near_duplicates(frame.limit(0)).count() == 0
     same = spark.createDataFrame([(1, [1.0, 2.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in M.near_duplicates(same).collect()] == [(1, 1, 1, True)] * 2
+
+
+def test_each_width_is_compared_with_itself(spark):
+    rows = [(k, [1.0, 2.0, 3.0]) for k in range(5)] + [(k, [1.0, 0.5]) for k in range(10, 12)] + [
+        (20, [2.0, 4.0, 6.0]), (21, [0.0, 1.0, 0.0]), (22, [2.0, 1.1]), (30, [1.0]), (31, [2.0]), (32, [-1.0]), (33, [1.0] * 5)]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in M.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert all(got[k][:2] == (5, 0) for k in (0, 1, 2, 3, 4, 20)) and got[21] == (0, 21, True)
+    assert all(got[k][:2] == (2, 10) for k in (10, 11, 22))
+    assert got[30][:2] == (1, 30) and got[31] == (1, 30, False) and got[32] == (0, 32, True) and got[33] == (0, 33, True)
