@@ -15,6 +15,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterable
 
 import pyarrow as pa
@@ -49,7 +50,7 @@ NOTICES = re.compile(
 COMPOUND = re.compile(rf"(?:{NOTICES.pattern}|area|bar|block|box|container|links?|list|main|page|posts?|section|"
                       r"site|left|right|top|bottom|wrap|wrapper|inner|\d+)", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|"
-                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|$)", re.S)
+                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*')?+)*+)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I | re.S)
 HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=/]|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 BLANK = re.compile(r"\s+")
@@ -66,53 +67,77 @@ class Node:
         self.holds = False
 
 
+class Open:
+    """The open elements: `here` is the innermost, counts by name tell what is open without a walk.
+
+    Names are counted in all, and since the innermost element of SCOPES.
+    """
+
+    def __init__(self, root: Node):
+        self.root = self.here = root
+        self.names: Counter[str] = Counter()
+        self.scopes: list[Counter[str]] = [Counter()]
+
+    def push(self, node: Node) -> None:
+        self.here = node
+        self.names[node.tag] += 1
+        if node.tag in SCOPES:
+            self.scopes.append(Counter())
+        else:
+            self.scopes[-1][node.tag] += 1
+
+    def close(self, names: Iterable[str]) -> None:
+        """Close up to the innermost open element of `names` and that one too."""
+        while True:
+            node = self.here
+            self.here = node.parent
+            self.names[node.tag] -= 1
+            if node.tag in SCOPES:
+                self.scopes.pop()
+            else:
+                self.scopes[-1][node.tag] -= 1
+            if node.tag in names:
+                return
+
+    def close_in_scope(self, names: set[str]) -> None:
+        if any(self.scopes[-1][n] for n in names):
+            self.close(names)
+
+
 def parse(page: str) -> Node:
     """The page's tree; `items` of a node are child nodes and decoded strings in page order."""
     root = Node("html", "", None)
-    here, at, size = root, 0, len(page)
+    open_, at, size = Open(root), 0, len(page)
     while at < size:
         m = TOKEN.search(page, at)
         stop = m.start() if m else size
         if stop > at:
-            here.items.append(html.unescape(page[at:stop]))
+            open_.here.items.append(html.unescape(page[at:stop]))
         if not m:
             break
         at, name = m.end(), m[2] and m[2].lower()
-        if not name or name in ("html", "body") and not m[1] and here is not root and name == "html":
+        if not name or name == "html" and not m[1] and open_.here is not root:
             continue
         if m[1]:
-            node = here
-            while node is not root and node.tag != name:
-                node = node.parent
-            if node is not root:
-                here = node.parent
+            if open_.names[name]:
+                open_.close({name})
             continue
-        if name in BREAKS:
-            here = _close(here, {"svg", "math"}, SCOPES | {"foreignobject"})
+        if name in BREAKS and not open_.names["foreignobject"]:
+            open_.close_in_scope({"svg", "math"})
         if name == "p" or name not in INLINE and name not in VOID and name not in RAW:
-            here = _close(here, {"p"}, SCOPES)
+            open_.close_in_scope({"p"})
         if name in CLOSES:
-            here = _close(here, CLOSES[name], SCOPES)
-        node = Node(name, m[3] or "", here)
-        here.items.append(node)
+            open_.close_in_scope(CLOSES[name])
+        node = Node(name, m[3] or "", open_.here)
+        open_.here.items.append(node)
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             at = end.end() if end else size
         elif name not in VOID and not (m[3] or "").endswith("/"):
-            here = node
+            open_.push(node)
     return root
 
 
-def _close(here: Node, names: set, scopes: frozenset) -> Node:
-    """The parent of the nearest open element of `names` below the nearest scope; else `here`."""
-    node = here
-    while node.parent is not None and node.tag not in scopes:
-        if node.tag in names:
-            return node.parent
-        node = node.parent
-    return here
-
-
 def _names_notice(token: str) -> bool:
     """Whether a class, id or role is a notice's: its first or last word names one, the others no other part."""
     words = [w for w in re.split(r"[_-]+", token) if w]
@@ -163,6 +188,23 @@ def _mark_holders(root: Node) -> None:
             node.holds = id(node) in above and id(node) not in inside
         else:
             node.holds = 10 * plain[id(node)] >= 9 * plain[id(root)] > 0
+    if not above:
+        _hold_largest(root, plain)
+
+
+def _hold_largest(root: Node, plain: dict[int, int]) -> None:
+    """Where one named node has nine times the plain text that is outside named ones, its name does not count."""
+    named, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        for c in node.items:
+            if isinstance(c, Node) and c.tag not in DROPPED:
+                (named if _is_notice(c) else stack).append(c)
+    most = max(named, key=lambda n: plain[id(n)], default=None)
+    if most is not None and plain[id(most)] > 9 * (plain[id(root)] - sum(plain[id(n)] for n in named)):
+        while most is not None:
+            most.holds = True
+            most = most.parent
 
 
 def _outside_article(node: Node) -> bool:

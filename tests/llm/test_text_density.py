@@ -60,3 +60,30 @@ def test_edges(spark):
     assert got[:3] == ["", "", "just words"] and len(got[3]) == 999_999
     assert got[4:] == ["cut off", "deep words", ""]
     assert X.with_main_text(pages.limit(0)).count() == 0
+
+
+def text_of(spark, page):
+    df = spark.createDataFrame([(1, page)], "page_id long, html string")
+    return X.with_main_text(df).first().main_text
+
+
+def test_quotes_only_open_after_an_equals_sign(spark):
+    page = '<body><p class=x">First paragraph of the text stands here.</p><p class="y">The second one follows it.</p></body>'
+    assert text_of(spark, page) == "First paragraph of the text stands here. The second one follows it."
+
+
+def test_time_of_unclosed_markup():
+    import time
+    for page in ("<b>" * 30_000 + "<p>a" * 30_000, "<svg>" + "<g>" * 40_000, "<b>" * 30_000 + "</i>" * 30_000,
+                 '<p>a <div ="' * 20_000, "<ul>" + "<li>x" * 40_000):
+        start = time.perf_counter()
+        X.parse(page)
+        assert time.perf_counter() - start < 5
+
+
+def test_a_name_does_not_hide_most_of_the_text(spark):
+    words = "Plain sentences of an article, of which there are many more than of anything else. " * 20
+    page = (f'<body><div class="search"><p>{words}</p><p>{words}</p></div><div class="footer">'
+            f'{"<a href=x>link</a> and some small print of the house. " * 30}</div></body>')
+    found = text_of(spark, page)
+    assert words.strip() in found and "small print" not in found
