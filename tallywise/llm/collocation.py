@@ -34,9 +34,9 @@ SCALE = 2_000_000
 COVERED = 80
 MOST = 2_000
 #: Words of a task that are counted together.
-FLUSH_WORDS = 1_500_000
+FLUSH_WORDS = 2_500_000
 #: Suffixes a task of the second stage gets on average.
-SUFFIXES_PER_TASK = 1_500_000
+SUFFIXES_PER_TASK = 2_500_000
 #: A phrase that leads one in HOT of all words is dealt by one word more; so there are at most HOT of each length.
 HOT = 20_000
 #: What occurs less often in a task is not looked at for that.
@@ -145,7 +145,7 @@ def _holds(bits: np.ndarray, words: list[bytes]) -> np.ndarray:
 
 
 def _suffixes(bits: np.ndarray, hot: dict[str, list[set[bytes]]], tasks: int):
-    """Blocks of n distinct suffixes with their counts: (task, lang, depth, n, words, suffixes).
+    """Blocks of n distinct suffixes with their counts: (task, lang, depth, n, size, words, suffixes).
 
     `depth` is the number of leading words by which a suffix is dealt: 2, or more after hot phrases.
     """
@@ -173,15 +173,16 @@ def _suffixes(bits: np.ndarray, hot: dict[str, list[set[bytes]]], tasks: int):
             bounds = np.flatnonzero(np.diff(task[order] * 8 + depth[order])) + 1
             for part in np.split(order, bounds):
                 used, at = np.unique(rows[part], return_inverse=True)
+                listed = b" ".join(names[c] for c in used[used > 0])
                 at = at.reshape(-1, LONGEST).astype(np.int32)
                 if used[0]:  # code 0 stands for no word
-                    used, at = np.concatenate([[0], used]), at + 1
+                    at = at + 1
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([int(task[part[0]])], pa.int64()), pa.array([lang], pa.string()),
                      pa.array([int(depth[part[0]])], pa.int32()), pa.array([len(part)], pa.int64()),
-                     pa.array([b" ".join(names[c] for c in used[1:])], pa.binary()),
+                     pa.array([len(listed)], pa.int64()), pa.array([pa.compress(listed, CODEC, asbytes=True)], pa.binary()),
                      pa.array([_packed(at, count[part])], pa.binary())],
-                    ["task", "lang", "depth", "n", "words", "suffixes"])
+                    ["task", "lang", "depth", "n", "size", "words", "suffixes"])
     return blocks
 
 
@@ -294,7 +295,7 @@ def _count_group(rows: pa.Table) -> pa.Table:
         words: dict[bytes, int] = {b"\n": 0}
         parts = []
         for row in own:
-            names = row["words"].split(b" ")
+            names = pa.decompress(row["words"], row["size"], CODEC, asbytes=True).split(b" ")
             code = np.fromiter((words.setdefault(w, len(words)) for w in names), np.int64, len(names))
             code = np.concatenate([[0], code])
             *words_of, count = _unpacked(row["suffixes"], row["n"])
@@ -331,7 +332,7 @@ def phrase_counts(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     bits = _filter(words.where(F.col("count") >= LEAST).select("phrase").distinct())
     blocks = texts.mapInArrow(
         _suffixes(bits, hot, tasks),
-        "task long, lang string, depth int, n long, words binary, suffixes binary")
+        "task long, lang string, depth int, n long, size long, words binary, suffixes binary")
     found = blocks.groupBy("task").applyInArrow(_count_group, COUNTS)
     # Phrases of one task come once, beginnings of hot ones from several.
     phrases = cut_lineage(found.groupBy("lang", "size", "phrase").agg(F.sum("count").alias("count"))
