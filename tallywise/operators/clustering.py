@@ -5,14 +5,13 @@ Frames are (id, vec array<double>); labels are (id, cluster_id).
 
 from __future__ import annotations
 
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml.clustering import BisectingKMeans, GaussianMixture, KMeans
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.clustering import BisectingKMeans, GaussianMixture
 from pyspark.errors import PySparkException
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -22,6 +21,8 @@ from ..functions.vectors import euclidean, squared_distance
 from ..session import cut_lineage
 from .density import dbscan
 from .neighbours import dbscan as grid_dbscan
+from .neighbours import sites
+from .pivots import choose_pivots, differences, distances, matrix, stacked, with_cell
 from .relational import best_by
 
 NOISE = -1
@@ -30,48 +31,180 @@ CENTER_BLOCK = 512
 #: Widest vectors whose density clusters are looked up on a grid.
 GRID_DIMS = 3
 MAX_ITER = 300
+#: Rows that k-means starts from, and Lloyd steps on them; a model stops when no centre moves further than TOLERANCE.
+SAMPLE_ROWS, SAMPLE_STEPS, TOLERANCE = 8_192, 100, 1e-4
+ROWS_AT_ONCE = 4_096
+#: Features that Ward's hierarchy is built on.
+WARD_FEATURES = 2_000
 
 
 def _ml(df: DataFrame) -> DataFrame:
     return df.select("id", array_to_vector("vec").alias("features"))
 
 
-def _held(df: DataFrame):
-    """The vectors of an iterative fit, kept on the executors; spills to disk."""
-    return _ml(df).persist(StorageLevel.MEMORY_AND_DISK)
-
+# -- k-means ----------------------------------------------------------------------------------
+
+def _seeded(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ on the sample: each further centre is drawn by the squared distance to those before."""
+    chosen = [x[rng.integers(len(x))]]
+    near = ((x - chosen[0]) ** 2).sum(1)
+    while len(chosen) < k:
+        total = near.sum()
+        at = rng.choice(len(x), p=near / total) if total > 0 else rng.integers(len(x))
+        chosen.append(x[at])
+        near = np.minimum(near, ((x - x[at]) ** 2).sum(1))
+    return np.array(chosen)
+
+
+def _settled(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Lloyd steps on the sample."""
+    for _ in range(SAMPLE_STEPS):
+        label = distances(x, centres).argmin(1)
+        size = np.bincount(label, minlength=len(centres))
+        sums = (label[:, None] == np.arange(len(centres))).T.astype(float) @ x
+        new = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres)
+        moved = np.abs(new - centres).max()
+        centres = new
+        if moved <= TOLERANCE:
+            break
+    return centres
+
+
+def _step(data: DataFrame, models: list[np.ndarray], d: int) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """(sizes, sums, cost) of every model's clusters, all by one scan that adds up where the rows lie."""
+    stacked_centres = np.concatenate(models)
+    starts = np.cumsum([0, *map(len, models)])
+    names = ["centre", "n", "cost", *[f"s{k}" for k in range(d)]]
+
+    def scan(batches):
+        total = np.zeros((len(stacked_centres), d + 2))
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                x = matrix(batch.column(0).slice(at, ROWS_AT_ONCE))
+                gap = distances(x, stacked_centres)
+                for start, stop in zip(starts[:-1], starts[1:]):
+                    own = gap[:, start:stop]
+                    label = own.argmin(1)
+                    hot = (label[:, None] == np.arange(stop - start)).T.astype(float)
+                    total[start:stop, 0] += hot.sum(1)
+                    total[start:stop, 1] += hot @ own.min(1) ** 2
+                    total[start:stop, 2:] += hot @ x
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(total)), pa.int64()), *[pa.array(c) for c in total.T]], names)
+    kind = "centre long, " + ", ".join(f"{n} double" for n in names[1:])
+    rows = data.mapInArrow(scan, kind).groupBy("centre").agg(*[F.sum(n).alias(n) for n in names[1:]])
+    total = np.zeros((len(stacked_centres), d + 2))
+    for r in rows.collect():  # a row per centre
+        total[r["centre"]] = r[1:]
+    return [(total[a:b, 0], total[a:b, 2:], float(total[a:b, 1].sum())) for a, b in zip(starts[:-1], starts[1:])]
+
+
+def fit_many(df: DataFrame, ks: list[int], seed: int = 42, max_iter: int = MAX_ITER) -> list[tuple[np.ndarray, float]]:
+    """(centres, cost) of a k-means fit for every entry of `ks`, all carried by the same scans.
+
+    Centres start from k-means++ and Lloyd steps on at most about SAMPLE_ROWS rows drawn by the hash of their
+    id; then every scan of all rows is a step of all models, each of which stops on its own.
+    """
+    n = df.count()
+    if not n:
+        return [(np.zeros((0, 0)), 0.0) for _ in ks]
+    share = min(1.0, SAMPLE_ROWS / n)
+    drawn = df.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = drawn.select("id", "vec").collect() or df.select("id", "vec").limit(1).collect()
+    sample = stacked([r["vec"] for r in sorted(rows, key=lambda r: r["id"])])
+    centres = [_settled(sample, _seeded(sample, k, np.random.default_rng([seed, k, i]))) for i, k in enumerate(ks)]
+    cost, open_ = [0.0] * len(ks), list(range(len(ks)))
+    data = df.select(F.col("vec").cast("array<double>")).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for _ in range(max_iter):
+            found = _step(data, [centres[m] for m in open_], sample.shape[1])
+            still = []
+            for m, (size, sums, now) in zip(open_, found):
+                cost[m] = now
+                new = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres[m])
+                if np.abs(new - centres[m]).max() > TOLERANCE:
+                    centres[m] = new
+                    still.append(m)
+            open_ = still
+            if not open_:
+                break
+    finally:
+        data.unpersist()
+    return list(zip(centres, cost))
 
-def side_by_side(tasks: list, workers: int = 8) -> list:
-    """Run independent fits concurrently, as the ML tuning classes do; results in task order."""
-    with ThreadPool(workers) as pool:
-        run = inheritable_thread_target(SparkSession.getActiveSession())(lambda task: task())
-        return pool.map(run, tasks)
 
+def _labelled(df: DataFrame, centres: np.ndarray) -> DataFrame:
+    """`df` with `cluster_id` and `distance_to_center`: the nearest centre, the first of equal ones."""
+    kind = pa.struct([("i", pa.int32()), ("d", pa.float64())])
 
-def fit_kmeans(data: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = MAX_ITER):
-    """The cheapest of several k-means fits."""
-    fit = lambda s: KMeans(k=k, seed=s, maxIter=max_iter).fit(data)
-    models = side_by_side([lambda s=seed + i: fit(s) for i in range(restarts)])
-    return min(models, key=lambda m: m.summary.trainingCost)
+    def nearest(vectors: pa.Array) -> pa.Array:
+        if not len(vectors):
+            return pa.array([], kind)
+        gap = np.round(differences(matrix(vectors), centres) ** 2, 12)
+        return pa.StructArray.from_arrays([pa.array(gap.argmin(1).astype(np.int32)), pa.array(np.sqrt(gap.min(1)))],
+                                          fields=list(kind))
+    return df.withColumn("_b", F.arrow_udf(nearest, "struct<i: int, d: double>")(
+        F.col("vec").cast("array<double>"))).withColumns(
+        {"cluster_id": F.col("_b.i"), "distance_to_center": F.col("_b.d")}).drop("_b")
 
 
 def kmeans(df: DataFrame, k: int, restarts: int = 10, seed: int = 42, max_iter: int = MAX_ITER) -> DataFrame:
-    """(id, cluster_id) of the cheapest k-means fit."""
-    data = _held(df)
-    try:
-        model = fit_kmeans(data, k, restarts, seed, max_iter)
-    finally:
-        data.unpersist()
-    return model.transform(_ml(df)).select("id", F.col("prediction").alias("cluster_id"))
-
-
-def nearest_centroid(df: DataFrame, centroids: list[list[float]]) -> DataFrame:
-    """Adds `cluster_id` (smallest index on a tie) and `distance_to_center`; k is a parameter."""
-    each = [F.struct(F.round(squared_distance(F.col("vec"), F.lit(c)), 12).alias("d"),
-                     F.lit(i).alias("i")) for i, c in enumerate(centroids)]
-    best = F.array_min(F.array(*each))
-    return df.withColumn("_b", best).withColumns({
-        "cluster_id": F.col("_b.i"), "distance_to_center": F.sqrt("_b.d")}).drop("_b")
+    """(id, cluster_id) of the cheapest of several k-means fits."""
+    centres, _ = min(fit_many(df, [k] * restarts, seed, max_iter), key=lambda m: m[1])
+    if not len(centres):
+        return df.select("id", F.lit(0).alias("cluster_id"))
+    return _labelled(df.select("id", "vec"), centres).select("id", "cluster_id")
+
+
+def silhouettes(df: DataFrame, models: list[np.ndarray]) -> list[float]:
+    """Mean squared-Euclidean silhouette under each model's nearest centres, all by two scans."""
+    d = models[0].shape[1]
+    data = df.select(F.col("vec").cast("array<double>"))
+    found = _step(data, models, d)
+    norms = _norms(data, models)
+
+    def scan(batches):
+        total, n = np.zeros(len(models)), 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                x = matrix(batch.column(0).slice(at, ROWS_AT_ONCE))
+                n += len(x)
+                own = (x * x).sum(1)[:, None]
+                for m, (centres, (size, sums, _), psi) in enumerate(zip(models, found, norms)):
+                    label = distances(x, centres).argmin(1)
+                    held = np.maximum(size, 1)[None, :]
+                    far = np.maximum(own + psi[None, :] / held - 2 * (x @ sums.T) / held, 0)
+                    rows = np.arange(len(x))
+                    mine = size[label]
+                    inner = far[rows, label] * mine / np.maximum(mine - 1, 1)
+                    far[:, size == 0] = np.inf
+                    far[rows, label] = np.inf
+                    outer = far.min(1)
+                    top = np.maximum(inner, outer)
+                    total[m] += np.where((mine > 1) & (top > 0) & np.isfinite(outer), (outer - inner) / np.where(
+                        (top > 0) & np.isfinite(top), top, 1), 0).sum()
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(models)), pa.int64()), pa.array(total),
+                                          pa.array(np.full(len(models), n), pa.int64())], ["m", "total", "n"])
+    rows = data.mapInArrow(scan, "m long, total double, n long").groupBy("m").agg(
+        (F.sum("total") / F.sum("n")).alias("s")).collect()
+    return [r["s"] for r in sorted(rows, key=lambda r: r["m"])]
+
+
+def _norms(data: DataFrame, models: list[np.ndarray]) -> list[np.ndarray]:
+    """Sum of the squared lengths in every cluster."""
+    def scan(batches):
+        total = [np.zeros(len(c)) for c in models]
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                x = matrix(batch.column(0).slice(at, ROWS_AT_ONCE))
+                for own, centres in zip(total, models):
+                    own += np.bincount(distances(x, centres).argmin(1), (x * x).sum(1), len(centres))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(sum(map(len, models))), pa.int64()),
+                                          pa.array(np.concatenate(total))], ["centre", "total"])
+    flat = np.zeros(sum(map(len, models)))
+    for r in data.mapInArrow(scan, "centre long, total double").groupBy("centre").agg(F.sum("total").alias("t")).collect():
+        flat[r["centre"]] = r["t"]
+    return np.split(flat, np.cumsum([len(c) for c in models])[:-1])
 
 
 def centroid_table(df: DataFrame, d: int) -> DataFrame:
@@ -82,30 +215,21 @@ def centroid_table(df: DataFrame, d: int) -> DataFrame:
 
 def kmeans_fixed_init(df: DataFrame, centroids: list[list[float]], steps: int) -> DataFrame:
     """Lloyd steps from given centroids; k*d numbers reach the driver per step."""
-    d, df = len(centroids[0]), cut_lineage(df.select("id", "vec"))
+    df, centres = cut_lineage(df.select("id", "vec")), np.array(centroids, float)
     for _ in range(steps):
-        rows = centroid_table(nearest_centroid(df, centroids), d).collect()
-        found = {r["cluster_id"]: list(r["center"]) for r in rows}
-        centroids = [found.get(i, c) for i, c in enumerate(centroids)]
-    return nearest_centroid(df, centroids).select("id", "cluster_id", "distance_to_center")
+        for row in centroid_table(_labelled(df, centres), centres.shape[1]).collect():
+            centres[row["cluster_id"]] = row["center"]
+    return _labelled(df, centres).select("id", "cluster_id", "distance_to_center")
 
 
 def choose_k(df: DataFrame, n: int, max_k: int = 10, restarts: int = 10,
              seed: int = 42, max_iter: int = MAX_ITER) -> DataFrame:
     """(k, inertia, silhouette, is_best) for the k range of the elbow search."""
-    data = _held(df)
-    ks = range(2, min(max_k + 1, n // 2))
-    fit = lambda k, s: KMeans(k=k, seed=s, maxIter=max_iter).fit(data)
-    try:
-        fits = side_by_side([lambda k=k, s=seed + i: (k, fit(k, s))
-                             for k in ks for i in range(restarts)])
-        cheapest = {k: min((m for q, m in fits if q == k), key=lambda m: m.summary.trainingCost)
-                    for k in ks}
-        rows = side_by_side([lambda k=k, m=m: (
-            k, float(m.summary.trainingCost), float(ClusteringEvaluator().evaluate(m.transform(data))))
-            for k, m in cheapest.items()])
-    finally:
-        data.unpersist()
+    ks = list(range(2, min(max_k + 1, n // 2)))
+    fits = fit_many(df, [k for k in ks for _ in range(restarts)], seed, max_iter)
+    cheapest = [min(fits[i * restarts:(i + 1) * restarts], key=lambda m: m[1]) for i in range(len(ks))]
+    values = silhouettes(df, [c for c, _ in cheapest]) if ks else []
+    rows = [(k, cost, float(s)) for k, (_, cost), s in zip(ks, cheapest, values)]
     best = min(rows, key=lambda r: (-r[2], r[0]))[0] if rows else None
     return df.sparkSession.createDataFrame(
         [(*r, r[0] == best) for r in rows], "k int, inertia double, silhouette double, is_best boolean")
@@ -117,6 +241,64 @@ def bisecting_kmeans(df: DataFrame, k: int = 5, seed: int = 42) -> DataFrame:
     return model.transform(_ml(df)).select("id", F.col("prediction").alias("cluster_id"))
 
 
+def ward_merges(centres: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, float]]:
+    """(a, b, rise in squared error) of all Ward merges of weighted centres, cheapest first.
+
+    Chains of nearest neighbours: two that are nearest to each other merge whatever else does. A group
+    keeps the smaller position of the two.
+    """
+    c, n = centres.astype(float).copy(), sizes.astype(float).copy()
+    there, chain, out = np.ones(len(c), bool), [], []
+    while there.sum() > 1:
+        if not chain:
+            chain.append(int(np.flatnonzero(there)[0]))
+        top = chain[-1]
+        apart = c - c[top]
+        rise = n * n[top] / (n + n[top]) * np.einsum("nd,nd->n", apart, apart)
+        rise[~there] = np.inf
+        rise[top] = np.inf
+        near = int(rise.argmin())
+        if len(chain) > 1 and rise[chain[-2]] <= rise[near]:
+            near = chain[-2]  # a tie goes back, so that the chain ends
+            chain = chain[:-2]
+            a, b = sorted((top, near))
+            out.append((a, b, float(rise[near])))
+            c[a] = (n[a] * c[a] + n[b] * c[b]) / (n[a] + n[b])
+            n[a] += n[b]
+            there[b] = False
+        else:
+            chain.append(near)
+    return sorted(out, key=lambda m: m[2])
+
+
+def ward(df: DataFrame, k: int = 5, features: int = WARD_FEATURES) -> DataFrame:
+    """(id, cluster_id): Ward's hierarchy cut at `k` clusters, numbered by their smallest id.
+
+    Rows add up to at most about `features` mergeable features (count, sum) around vectors drawn by the hash
+    of their id; only these are merged one by one. Up to that many distinct vectors each is its own feature.
+    """
+    found = cut_lineage(sites(df, "id"))
+    n = found.count()
+    pivots = choose_pivots(found, "site", max(1, n), most=features)
+    if not len(pivots):
+        return df.select("id", F.lit(0).alias("cluster_id"))
+    d = pivots.shape[1]
+    located = cut_lineage(with_cell(found, pivots).select("site", "vec", "weight", "cell"))
+    rows = located.groupBy("cell").agg(
+        F.sum("weight").alias("n"), F.min("site").alias("first"),
+        F.array(*[F.sum(F.col("weight") * F.col("vec").getItem(j)) for j in range(d)]).alias("s")).orderBy("cell").collect()
+    sizes = np.array([r["n"] for r in rows], float)
+    group = {i: [i] for i in range(len(rows))}
+    for a, b, _ in ward_merges(np.array([r["s"] for r in rows]) / sizes[:, None], sizes)[:max(0, len(rows) - k)]:
+        a, b = (next(g for g in group if x in group[g]) for x in (a, b))
+        group[a] += group.pop(b)
+    order = sorted(group.values(), key=lambda g: min(rows[i]["first"] for i in g))
+    of = {rows[i]["cell"]: at for at, g in enumerate(order) for i in g}
+    names = F.lit([of.get(c, -1) for c in range(len(pivots))])
+    labels = located.select("vec", F.element_at(names, F.col("cell") + 1).alias("cluster_id"))
+    return df.select("id", "vec").join(labels, "vec").select("id", "cluster_id")
+
+
 def gaussian_mixture(df: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """Soft clusters: (id, cluster_id, cluster_probability)."""
     model = GaussianMixture(k=k, seed=seed).fit(_ml(df))
@@ -194,7 +376,7 @@ def compare_methods(df: DataFrame, d: int, k: int = 5, eps: float = 0.5, min_sam
     that Spark cannot run on the data has its error beside its name; faults of the program itself
     are raised.
     """
-    runs = {"kmeans": lambda: kmeans(df, k, restarts), "hierarchical": lambda: bisecting_kmeans(df, k),
+    runs = {"kmeans": lambda: kmeans(df, k, restarts), "hierarchical": lambda: ward(df, k),
             "gaussian_mixture": lambda: gaussian_mixture(df, k),
             "dbscan": lambda: density_clusters(df, d, eps, min_samples)}
     labels, rows = None, []

@@ -69,13 +69,15 @@ def differences(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def choose_pivots(points: DataFrame, id_col: str, n: int, vec: str = "vec", seed: int = 1) -> np.ndarray:
-    """About twice the square root of the rows, drawn by the hash of their id; bounded as stated above."""
+def choose_pivots(points: DataFrame, id_col: str, n: int, vec: str = "vec", seed: int = 1,
+                  most: int | None = None) -> np.ndarray:
+    """About twice the square root of the rows, or `most`, drawn by the hash of their id; bounded as stated above."""
     width = points.select(F.size(vec)).first()
     if width is None:
         return np.zeros((0, 0))
+    wanted = most or 2 * math.isqrt(n) + 1
     most = max(1, min(MOST_PIVOTS, MOST_NUMBERS // max(1, width[0])))
-    share = min(1.0, min(most, 2 * math.isqrt(n) + 1) / n)
+    share = min(1.0, min(most, wanted) / n)
     drawn = points.where(F.pmod(F.xxhash64(id_col, F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
     rows = drawn.select(vec).limit(most).collect() or points.select(vec).limit(1).collect()
     return np.unique(stacked([r[0] for r in rows]), axis=0)

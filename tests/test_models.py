@@ -180,7 +180,7 @@ def test_composed_analyses(spark, folder):
     sim_out = analyses.similarity_analysis(f, work_path(spark, "t-sim"))
     assert sim_out["results"].count() == sim_out["hits"].count() > 0
     truth = an.ground_truth(users(spark, folder), ltx(spark, folder))
-    out = analyses.anomaly_analysis(f, truth, work_path(spark, "t-an"), permutations=2)
+    out = analyses.anomaly_analysis(f, truth, work_path(spark, "t-an"))
     methods = {r["anomaly_method"]: r["count"] for r in out["results"].groupBy("anomaly_method").count().collect()}
     assert set(methods.values()) == {150} and {"isolation_forest", "one_class"} <= set(methods)
     assert out["importance"].count() == len(C.ANOMALY_FEATURES)
