@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 NEAREST, LINEAR = "nearest", "linear"
 BINS = 4_096
 
@@ -129,6 +131,31 @@ def group_quantiles(df: DataFrame, keys: list[str], value: str, specs: dict,
     return cold_part.unionByName(hot_part)
 
 
+def weighted_quantiles(runs: DataFrame, keys: list[str], value: str, weight: str, specs: dict) -> DataFrame:
+    """As `group_quantiles`, of distinct values that occur `weight` times each.
+
+    Values are dealt by ranges of key and value and counted up within a range, and the ranges of a key
+    follow each other, so that a key of any size is as many tasks as its share of the values asks for.
+    """
+    base = runs.select(*keys, F.col(value).cast("double").alias("_v"), F.col(weight).alias("_w")).where(
+        F.col("_v").isNotNull())
+    ranged = cut_lineage(base.repartitionByRange(*keys, "_v").withColumn("_part", F.spark_partition_id()))
+    parts = ranged.groupBy(*keys, "_part").agg(F.sum("_w").alias("_c"))
+    whole = W.partitionBy(*keys)
+    upto = whole.orderBy("_part").rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = parts.select(*keys, "_part", (F.sum("_c").over(upto) - F.col("_c")).alias("_before"),
+                          F.sum("_c").over(whole).alias("_n"))
+    inside = W.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    counted = ranged.withColumn("_upto", F.sum("_w").over(inside)).join(before, [*keys, "_part"]).withColumn(
+        "_upto", F.col("_upto") + F.col("_before"))
+    at = lambda r: F.max(F.when((F.col("_upto") >= r) & (F.col("_upto") - F.col("_w") < r), F.col("_v")))
+    ends = [_ranks(F.col("_n"), q, how) for q, how in specs.values()]
+    found = counted.groupBy(*keys).agg(F.max("_n").alias("_n"), *[
+        at(r).alias(f"_{side}{i}") for i, (lo, hi, _) in enumerate(ends) for side, r in (("lo", lo), ("hi", hi))])
+    return found.select(*keys, *[_blend(F.col(f"_lo{i}"), F.col(f"_hi{i}"), w).alias(name)
+                                 for i, (name, (_, _, w)) in enumerate(zip(specs, ends))])
+
+
 def column_quantiles(df: DataFrame, columns: list[str], specs: dict,
                      accuracy: int = 10_000) -> DataFrame:
     """Exact whole-table quantiles, one row per column: (feature, <names of specs>).

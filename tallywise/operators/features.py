@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import FALLBACK_CITY
-from ..functions.quantiles import LINEAR, NEAREST, group_quantiles
+from ..functions.quantiles import LINEAR, NEAREST, group_quantiles, weighted_quantiles
 from ..schemas import FEATURE_COLUMNS
+from ..session import cut_lineage
 
 USER = "user_id"
 AMOUNT = "amount"
@@ -159,6 +160,59 @@ def user_features(users: DataFrame, tx: DataFrame, hot_rows: int = 1_000_000) ->
     return with_defaults(joined).select(USER, *[name for name, _ in FEATURE_COLUMNS])
 
 
+#: Columns whose values a feature row rests on.
+RUN_KINDS = ["transaction_date", "city", "province", "card_type", "device_type", AMOUNT, "hour_of_day", "is_weekend"]
+
+
+def merged_runs(*runs: DataFrame) -> DataFrame:
+    """(user_id, kind, value, cnt) of several such tables: counts of the same value add up."""
+    every = runs[0]
+    for more in runs[1:]:
+        every = every.unionByName(more)
+    return every.groupBy(USER, "kind", "value").agg(F.sum("cnt").alias("cnt"))
+
+
+def features_of_runs(users: DataFrame, runs: DataFrame) -> DataFrame:
+    """`user_features` from the counts of RUN_KINDS (`value_counts_by_user`) instead of transactions.
+
+    Counts of two sets of transactions merge by addition, so features can be kept up without the
+    transactions behind them.
+    """
+    number = F.when(F.col("value") == "true", 1.0).when(F.col("value") == "false", 0.0).otherwise(
+        F.expr("try_cast(value as double)"))
+    runs = cut_lineage(runs)
+    counted = runs.where(F.col("kind").isin(AMOUNT, "hour_of_day", "is_weekend")).withColumn("v", number)
+    n, s = (lambda k: F.sum(F.when((F.col("kind") == k) & F.col("v").isNotNull(), F.col("cnt")))), (
+        lambda k: F.sum(F.when(F.col("kind") == k, F.col("v") * F.col("cnt"))))
+    own = lambda f, k: f(F.when(F.col("kind") == k, F.col("v")))
+    night = (F.col("kind") == "hour_of_day") & ((F.col("v") >= 22) | (F.col("v") <= 6))
+    first = counted.groupBy(USER).agg(
+        F.sum(F.when(F.col("kind") == AMOUNT, F.col("cnt"))).alias("total_transactions"),
+        s(AMOUNT).alias("total_amount"), n(AMOUNT).alias("_n"), n("hour_of_day").alias("_hours"),
+        own(F.min, AMOUNT).alias("min_transaction_amount"), own(F.max, AMOUNT).alias("max_transaction_amount"),
+        (s(AMOUNT) / n(AMOUNT)).alias("avg_transaction_amount"),
+        (s("hour_of_day") / n("hour_of_day")).alias("avg_hour_of_day"),
+        (s("is_weekend") / n("is_weekend")).alias("weekend_transaction_ratio"),
+        (F.coalesce(F.sum(F.when(night, F.col("cnt"))), F.lit(0)) / n("hour_of_day")).alias("night_transaction_ratio"))
+    off = F.col("v") - F.when(F.col("kind") == AMOUNT, F.col("avg_transaction_amount")).otherwise(F.col("avg_hour_of_day"))
+    power = lambda k, p: F.sum(F.when(F.col("kind") == k, F.col("cnt") * F.pow(off, F.lit(p))))
+    moments = counted.join(first, USER).groupBy(USER).agg(
+        power(AMOUNT, 2).alias("_m2"), power(AMOUNT, 3).alias("_m3"), power("hour_of_day", 2).alias("_h2"))
+    deviation = lambda m, k: F.coalesce(F.sqrt(F.try_divide(F.col(m), F.col(k) - 1)), F.lit(0.0))
+    constant = F.col("min_transaction_amount") == F.col("max_transaction_amount")
+    skew = F.try_divide(F.col("_m3") / F.col("_n"), F.pow(F.col("_m2") / F.col("_n"), F.lit(1.5)))
+    measures = first.join(moments, USER).select(
+        *[c for c in first.columns if c not in ("_n", "_hours")], deviation("_m2", "_n").alias("std_transaction_amount"),
+        deviation("_h2", "_hours").alias("std_hour_of_day"),
+        F.when(constant, 0.0).otherwise(F.coalesce(skew, F.lit(0.0))).alias("amount_skewness"))
+    counts = _by_user(runs, _FREQUENCY, _GEO_AGGS, _BEHAVIORAL_AGGS)
+    quantiles = weighted_quantiles(runs.where(F.col("kind") == AMOUNT), [USER], "value", "cnt", _QUANTILES)
+    joined = (users.select(USER, "age", "birth_year").join(measures, USER, "left").join(counts, USER, "left")
+              .join(quantiles, USER, "left").withColumn(
+                  "amount_iqr", F.col("amount_percentile_75") - F.col("amount_percentile_25")))
+    return with_defaults(joined).select(USER, *[name for name, _ in FEATURE_COLUMNS])
+
+
 def missing_features(users: DataFrame, features: DataFrame) -> DataFrame:
     """Ids of users without a feature row."""
     return users.select(USER).join(features.select(USER), USER, "left_anti")

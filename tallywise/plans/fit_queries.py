@@ -77,16 +77,12 @@ def bisecting(spark, d):
     return partition_rows(df, cl.bisecting_kmeans(df, 5), 5, one * 0.999)
 
 
-@query("j4_ward", f"""with {LONG}, ids as (select distinct vec_id, label from long),
-size as (select label, count(*) as n from ids group by label)
-select cast(n as bigint) as n_rows, true as one_label from size""")
+@query("j4_ward", EVERY_VECTOR)
 def ward(spark, d):
-    """Ward's clusters of the embeddings, as many as there are labels: rows of each, and whether all have one label."""
+    """At most a twentieth dearer than the partition by the given labels, of which there are as many."""
     df = cut_lineage(embedded(spark, d))
     k = df.select("cluster_id").distinct().count()
-    found = cl.ward(df, k).withColumnRenamed("cluster_id", "found").join(df.select("id", "cluster_id"), "id")
-    return found.groupBy("found").agg(F.count("*").alias("n_rows"), (
-        F.count_distinct("cluster_id") == 1).alias("one_label")).drop("found")
+    return partition_rows(df, cl.ward(df, k), k, cost(df).scalar() * 1.05)
 
 
 @query("j7_gaussian_mixture", plane_sql("select id, true as in_range, true as is_probability from plane"))

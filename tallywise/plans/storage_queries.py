@@ -192,13 +192,12 @@ def feature_stream(spark, d):
     source = work_path(spark, "arrivals")
     state = work_path(spark, "stream")
     t = tx(spark, d)
-    for arrived in ("transaction_date < '2024-01-15'", "transaction_date >= '2024-01-15'"):
-        # The second run resumes from the checkpoint and sees the new files only.
+    for run, arrived in (("first", "transaction_date < '2024-01-15'"), ("second", "transaction_date >= '2024-01-15'")):
+        # The second run has a fresh checkpoint: it sees all files and adds the new ones.
         t.where(arrived).write.mode("append").parquet(source)
         stream = spark.readStream.schema(t.schema).parquet(source)
-        jobs.refresh_features(spark, stream, users(spark, d), state + "/history",
-                              state + "/features", state + "/checkpoint")
-    return rounded(jobs.current_features(spark, state + "/features").select("user_id", *_KEPT))
+        jobs.refresh_features(spark, stream, users(spark, d), state + "/kept", state + "/" + run)
+    return rounded(jobs.current_features(spark, state + "/kept").select("user_id", *_KEPT))
 
 
 @query("p3_stage_completeness", S.with_("users tx", """

@@ -1,18 +1,19 @@
 """Incremental refresh and streams over transaction files.
 
-No operator here keeps streaming state: medians and modes cannot be updated in place, so a batch
-names the touched users and their features are computed again from the stored history.
+No operator here keeps streaming state: what has to last from batch to batch are tables of counts, which
+a batch adds to.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.anomaly import rule_flags
+from ..operators import features as feat
 from ..operators.features import missing_features, user_features
 from ..operators.synth import with_user_age
 from ..session import cut_lineage, delete, exists, release, rename
@@ -76,53 +77,86 @@ def drop_superseded(spark: SparkSession, path: str) -> None:
         delete(spark, f"{path}/rows/version={row['version']}/source={row['source']}")
 
 
-def refresh_features(spark: SparkSession, stream: DataFrame, users: DataFrame, history_path: str,
-                     features_path: str, checkpoint: str, buckets: int = 16) -> None:
-    """Pick up new transaction files, extend the history and refresh the touched users.
+def refresh_features(spark: SparkSession, stream: DataFrame, users: DataFrame, path: str, checkpoint: str,
+                     buckets: int = 16) -> None:
+    """Keep the features of users up with new transaction files, without a history of transactions.
 
-    Users fall into `buckets` by hash; a batch reads and writes the folders of its users' buckets
-    only. Both tables are safe to replay: a history folder is named by bucket and batch, and a
-    batch writes a new version of each touched bucket, whole, from the version before it. Versions
-    before that one are deleted. Choose `buckets` so that the history of one fits a few tasks.
+    What is kept of a user are counts of values (`value_counts_by_user`), to which a batch adds its own.
+    Users fall into `buckets` by hash; a batch reads the counts of its users' buckets and writes a new
+    version of each with its users' features, then a manifest of the buckets and of the source files that
+    went in, renamed into place. Files that a manifest names are left out of later batches, so a replay with a
+    fresh checkpoint and other limits adds nothing, and a batch cut short leaves nothing. Versions without a use
+    are deleted. Choose `buckets` so that the counts of one fit a few tasks. `stream` reads files.
     """
+    named = stream.select("*", F.sha2(F.col("_metadata.file_path"), 256).alias("source"))
+
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int"))
-        touched = cut_lineage(batch.select("user_id", "bucket").distinct())
-        mine = [r[0] for r in touched.select("bucket").distinct().collect()]  # at most `buckets` numbers
-        if not mine:
-            release(touched)
-            return
-        write_partitions(batch.withColumn("batch_id", F.lit(batch_id)), history_path, ["bucket", "batch_id"])
-        history = spark.read.parquet(history_path).where(
-            F.col("bucket").isin(mine) & (F.col("batch_id") <= batch_id))
-        rows = user_features(users.join(touched, "user_id", "left_semi"),
-                             history.drop("batch_id", "bucket").join(touched, "user_id", "left_semi"))
-        rows = rows.join(touched, "user_id")
-        versions = {}
-        if exists(spark, features_path):
-            old = spark.read.parquet(features_path).where(
-                F.col("bucket").isin(mine) & (F.col("batch_id") < batch_id))
-            versions = {r["bucket"]: r["v"] for r in old.groupBy("bucket").agg(F.max("batch_id").alias("v")).collect()}
-            rows = rows.unionByName(_newest(old).join(touched, "user_id", "left_anti"))
-        write_partitions(rows.withColumn("batch_id", F.lit(batch_id)), features_path, ["bucket", "batch_id"])
-        release(touched)
-        for bucket, version in versions.items():
-            past = spark.read.parquet(features_path).where(
-                (F.col("bucket") == bucket) & (F.col("batch_id") < version)).select("batch_id").distinct().collect()
-            for row in past:  # one, unless a run before this one stopped half-way
-                delete(spark, f"{features_path}/bucket={bucket}/batch_id={row[0]}")
-
-    _run(stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint))
-
-
-def _newest(versions: DataFrame) -> DataFrame:
-    last = versions.groupBy("bucket").agg(F.max("batch_id").alias("batch_id"))
-    return versions.join(F.broadcast(last), ["bucket", "batch_id"]).drop("batch_id")  # a row per bucket
-
-
-def current_features(spark: SparkSession, features_path: str) -> DataFrame:
-    """The newest feature row of every user."""
-    return _newest(spark.read.parquet(features_path)).drop("bucket")
+        done = _manifest(spark, path)
+        fresh = cut_lineage(batch.join(done.where("source is not null").select("source").distinct(), "source", "left_anti")
+                            .withColumn("bucket", _bucket(buckets)))
+        mine = [r[0] for r in fresh.select("bucket").distinct().collect()]  # at most `buckets` numbers
+        if mine:
+            version = f"{done.agg(F.max('at')).first()[0] or 0:012d}-{uuid.uuid4().hex}"
+            held = _current(spark, path, "counts").where(F.col("bucket").isin(mine))
+            counts = cut_lineage(feat.merged_runs(
+                held.drop("bucket"), feat.value_counts_by_user(fresh, feat.RUN_KINDS)).withColumn("bucket", _bucket(buckets)))
+            seen = counts.select("user_id").distinct()
+            rows = feat.features_of_runs(users.join(seen, "user_id", "left_semi"), counts.drop("bucket"))
+            for name, df in (("counts", counts), ("features", rows.withColumn("bucket", _bucket(buckets)))):
+                df.withColumn("version", F.lit(version)).write.mode("append").partitionBy(
+                    "version", "bucket").parquet(f"{path}/{name}")
+            at = F.lit((done.agg(F.max("at")).first()[0] or 0) + 1).cast("long").alias("at")
+            blank = lambda c, kind: F.lit(None).cast(kind).alias(c)
+            entries = fresh.select("bucket").distinct().select("bucket", blank("source", "string")).union(
+                fresh.select("source").distinct().select(blank("bucket", "int"), "source"))
+            entries.select("bucket", "source", F.lit(version).alias("version"), at).coalesce(1).write.json(
+                f"{path}/pending/{version}")
+            rename(spark, f"{path}/pending/{version}", f"{path}/manifest/{version}")
+            release(counts)
+            _drop_old(spark, path)
+        release(fresh)
+
+    _run(named.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint))
+
+
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
+
+
+_ENTRY = "bucket int, source string, version string, at long"
+
+
+def _manifest(spark: SparkSession, path: str) -> DataFrame:
+    """What every version holds: a row per bucket and per source; `at` numbers the versions."""
+    if not exists(spark, f"{path}/manifest"):
+        return spark.createDataFrame([], _ENTRY)
+    return spark.read.schema(_ENTRY).json(f"{path}/manifest/*")
+
+
+def _last_versions(spark: SparkSession, path: str) -> DataFrame:
+    return _manifest(spark, path).where("bucket is not null").groupBy("bucket").agg(
+        F.max(F.struct("at", "version")).alias("_l")).select("bucket", F.col("_l.version").alias("version"))
+
+
+def _current(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """The rows of the last version of every bucket."""
+    if name == "counts" and not exists(spark, f"{path}/manifest"):
+        return spark.createDataFrame([], "user_id long, kind string, value string, cnt long, bucket int")
+    rows = spark.read.option("recursiveFileLookup", False).parquet(f"{path}/{name}")
+    return rows.join(F.broadcast(_last_versions(spark, path)), ["version", "bucket"], "left_semi").drop("version")
+
+
+def _drop_old(spark: SparkSession, path: str) -> None:
+    last = {(r["version"], r["bucket"]) for r in _last_versions(spark, path).collect()}  # a row per bucket
+    for name in ("counts", "features"):
+        for row in spark.read.parquet(f"{path}/{name}").select("version", "bucket").distinct().collect():
+            if (row["version"], row["bucket"]) not in last:
+                delete(spark, f"{path}/{name}/version={row['version']}/bucket={row['bucket']}")
+
+
+def current_features(spark: SparkSession, path: str) -> DataFrame:
+    """The newest feature row of every user that had a transaction."""
+    return _current(spark, path, "features").drop("bucket")
 
 
 def stream_rule_flags(stream: DataFrame, users: DataFrame, path: str, checkpoint: str) -> None:

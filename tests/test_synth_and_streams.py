@@ -4,9 +4,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import transactions
 from tallywise import constants as C
 from tallywise.functions.ranking import row_positions
 from tallywise.operators import synth
+from tallywise.operators.features import RUN_KINDS, features_of_runs, merged_runs, user_features, value_counts_by_user
 from tallywise.plans.inputs import ltx, tx, users
 from tallywise.session import work_path
 from tallywise.sources import sinks
@@ -106,26 +108,47 @@ def test_replay_writes_the_same_rows_once(spark, folder):
     assert shown().count() == t.count() == spark.read.parquet(state + "/t/rows").count()
 
 
-def test_a_batch_reads_its_own_buckets_only(spark, folder):
-    from tallywise.session import delete
+def test_features_kept_by_counts_equal_features_of_all(spark, folder):
     source, state = work_path(spark, "arrive"), work_path(spark, "kept")
     t, u = tx(spark, folder), users(spark, folder)
-    run = lambda: jobs.refresh_features(
-        spark, spark.readStream.schema(t.schema).parquet(source), u, state + "/h", state + "/f", state + "/c", 8)
-    t.write.parquet(source)
-    run()
-    before = {r["user_id"]: r["total_transactions"]
-              for r in jobs.current_features(spark, state + "/f").collect()}
     one = t.limit(1)
+    more = t.unionByName(one)
+    # Files of equal names in two folders, the second one later; then a replay with other limits.
+    for name, part in (("a", t.repartition(3)), ("b", one)):
+        part.write.parquet(f"{source}/{name}")
+        jobs.refresh_features(spark, spark.readStream.schema(t.schema).option("recursiveFileLookup", True).option(
+            "maxFilesPerTrigger", 2).parquet(source), u, state, state + "-c", 8)
+        if name == "a":
+            before = {r["user_id"]: r["total_transactions"] for r in jobs.current_features(spark, state).collect()}
+    replay = lambda n, c: jobs.refresh_features(spark, spark.readStream.schema(t.schema).option(
+        "recursiveFileLookup", True).option("maxFilesPerTrigger", n).parquet(source), u, state, state + c, 8)
+    replay(1, "-d")
+    got = {r["user_id"]: r.asDict() for r in jobs.current_features(spark, state).collect()}
+    want = {r["user_id"]: r.asDict() for r in user_features(u, more).join(
+        more.select("user_id").distinct(), "user_id", "left_semi").collect()}
+    assert set(got) == set(want)
+    for user, row in want.items():
+        for name, value in row.items():
+            assert got[user][name] == (pytest.approx(value, rel=1e-9, abs=1e-9) if isinstance(value, float) else value)
     user = one.first()["user_id"]
-    bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit(user).cast("long")), F.lit(8))).first()[0]
-    for other in set(range(8)) - {bucket}:  # without their history only a batch of this bucket can run
-        delete(spark, f"{state}/h/bucket={other}")
-    one.write.mode("append").parquet(source)
-    run()
-    after = {r["user_id"]: r["total_transactions"]
-             for r in jobs.current_features(spark, state + "/f").collect()}
-    assert after == before | {user: before[user] + 1}
+    assert {k: r["total_transactions"] for k, r in got.items()} == before | {user: before[user] + 1}
+    # No transactions are stored, and only the last version of each bucket.
+    counts = spark.read.parquet(state + "/counts")
+    assert set(counts.columns) == {"user_id", "kind", "value", "cnt", "version", "bucket"}
+    assert counts.groupBy("bucket").agg(F.count_distinct("version").alias("n")).where("n > 1").count() == 0
+
+
+def test_counts_of_odd_rows(spark, folder):
+    u = users(spark, folder)
+    ids = [r[0] for r in u.select("user_id").limit(3).collect()]
+    t = transactions(spark, [(ids[0], 5.0, "2024-01-05", 23, "a", "p", "c", "d")] * 4 + [
+        (ids[1], None, "2024-01-06", None, None, "p", "c", None), (ids[1], 7.5, "2024-01-06", 3, "b", None, "c", "d"),
+        (ids[1], 2.5, "2024-01-07", 12, "b", "q", "c", "e"), (ids[1], 1e9, "2024-01-07", 6, "a", "q", "c", "e")])
+    runs = merged_runs(*[value_counts_by_user(t.where(c), RUN_KINDS) for c in ("amount > 5 or amount is null", "amount <= 5")])
+    got = {r["user_id"]: r.asDict() for r in features_of_runs(u, runs).collect()}
+    for r in user_features(u, t).collect():
+        for name, value in r.asDict().items():
+            assert got[r["user_id"]][name] == (pytest.approx(value, rel=1e-9) if isinstance(value, float) else value), name
 
 
 def test_stage_completeness_of_an_empty_target(spark):
