@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -199,6 +201,90 @@ def mutual_information(df: DataFrame, target: str, columns: list[str],
             .agg(F.sum("t").alias("mi")))
 
 
+def digamma(n: Column) -> Column:
+    """Digamma of whole numbers from 1, to about 1e-12: the recurrence up, then the asymptotic series."""
+    up = n + F.lit(8.0)
+    series = F.ln(up) - 1 / (2 * up) - 1 / (12 * up ** 2) + 1 / (120 * up ** 4) - 1 / (252 * up ** 6)
+    return series - sum((1 / (n + F.lit(float(i))) for i in range(8)), F.lit(0.0))
+
+
+def _nearest_bounds(k: int):
+    """Of a block of one class in rising order, the open interval around each own row that holds less than its k-th neighbour."""
+    def bounds(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("pos", ignore_index=True)
+        v, pos = rows["v"].to_numpy(), rows["pos"].to_numpy()
+        n = int(rows["n"].iloc[0])
+        near = min(k, n - 1)
+        lo, hi, best = np.full(len(v), np.nan), np.full(len(v), np.nan), np.full(len(v), np.inf)
+        for below in range(near + 1):  # so many of the nearest lie below the row
+            first, last = np.arange(len(v)) - below, np.arange(len(v)) + near - below
+            inside = (first >= 0) & (last < len(v))
+            a, b = v[np.where(inside, first, 0)], v[np.where(inside, last, 0)]
+            reach = np.where(inside, np.maximum(v - a, b - v), np.inf)
+            closer = reach < best
+            best = np.where(closer, reach, best)
+            left = v - a >= b - v  # the farthest of them bounds its side exactly
+            lo = np.where(closer, np.where(left, a, v - reach), lo)
+            hi = np.where(closer, np.where(left, v + reach, b), hi)
+        own = rows["home"].to_numpy()
+        return pd.DataFrame({"feature": rows["feature"], "y": rows["y"], "pos": pos, "n": n, "near": near,
+                             "lo": lo, "hi": hi, "same": best == 0})[own]
+    return bounds
+
+
+def neighbour_information(df: DataFrame, target: str, columns: list[str], k: int = 3,
+                          block_rows: int = 10_000) -> DataFrame:
+    """(feature, mi): mutual information with a class column, estimated from the k nearest neighbours within a class.
+
+    psi(N) + mean of psi(k) - psi(rows of the class) - psi(rows of any class nearer than the k-th of
+    the own), at least 0; rows whose class has no other are left out, and a class of at most k rows has
+    fewer neighbours. Rows are dealt by ranges of value: a class is cut into blocks of its sorted rows with
+    k more on either side, and nearer rows are counted as differences of ranks.
+    """
+    long = unpivot(df.where(F.col(target).isNotNull()), columns, [target]).select(
+        "feature", F.col(target).cast("string").alias("y"), F.col("_v").alias("v"))
+    classed = cut_lineage(_counted_up(long.withColumn("_one", F.lit(1).cast("long")), ["feature", "y"], ["v"]))
+    own = classed.where(F.col("_n") > 1)
+    at = F.floor((F.col("_upto") - 1) / block_rows)
+    edge = (F.col("_upto") - 1) % block_rows
+    homes = F.array_compact(F.array(at, F.when((edge < k) & (at > 0), at - 1), F.when(
+        (edge >= block_rows - k) & ((at + 1) * block_rows < F.col("_n")), at + 1)))
+    dealt = own.select("feature", "y", "v", F.col("_upto").alias("pos"), F.col("_n").alias("n"), at.alias("own"),
+                       F.explode(homes).alias("block")).withColumn("home", F.col("own") == F.col("block"))
+    bounds = cut_lineage(dealt.groupBy("feature", "y", "block").applyInPandas(
+        _nearest_bounds(k), "feature string, y string, pos long, n long, near long, lo double, hi double, same boolean"))
+    # Ends stand before or after equal values: an open interval leaves its ends out, an empty one holds its middle.
+    ends = F.explode(F.array(
+        F.struct(F.col("lo").alias("v"), F.when(F.col("same"), 0).otherwise(2).alias("ord"), F.lit(-1).alias("sign")),
+        F.struct(F.col("hi").alias("v"), F.when(F.col("same"), 2).otherwise(0).alias("ord"), F.lit(1).alias("sign"))))
+    probes = bounds.select("feature", "y", "pos", ends.alias("e")).select(
+        "feature", "y", "pos", "e.v", "e.ord", "e.sign", F.lit(0).cast("long").alias("_one"))
+    values = own.select("feature", "y", F.col("_upto").alias("pos"), "v", F.lit(1).alias("ord"), F.lit(0).alias("sign"),
+                        F.lit(1).cast("long").alias("_one"))
+    ranks = _counted_up(values.union(probes), ["feature"], ["v", "ord"])
+    nearer = ranks.where("sign <> 0").groupBy("feature", "y", "pos").agg(
+        F.sum(F.col("sign") * F.col("_upto")).alias("m"))
+    terms = bounds.join(nearer, ["feature", "y", "pos"]).groupBy("feature").agg(
+        F.count("*").alias("rows"),
+        F.avg(digamma(F.col("near")) - digamma(F.col("n")) - digamma(F.col("m"))).alias("t"))
+    return terms.select("feature", F.greatest(F.lit(0.0), digamma(F.col("rows")) + F.col("t")).alias("mi"))
+
+
+def _counted_up(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Adds `_upto`, the sum of `_one` up to a row in its key's order, and `_n`, that of the whole key.
+
+    Rows are dealt by ranges of key and order; sums of the ranges before are added to those within one.
+    """
+    ranged = cut_lineage(rows.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id()))
+    whole = W.partitionBy(*keys)
+    parts = ranged.groupBy(*keys, "_part").agg(F.sum("_one").alias("_c"))
+    before = parts.select(*keys, "_part", F.sum("_c").over(whole).alias("_n"), (F.sum("_c").over(
+        whole.orderBy("_part").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_c")).alias("_before"))
+    inside = W.partitionBy(*keys, "_part").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    return (ranged.withColumn("_upto", F.sum("_one").over(inside)).join(before, [*keys, "_part"])
+            .withColumn("_upto", F.col("_upto") + F.col("_before")).drop("_before", "_part", "_one"))
+
+
 def select_k_best(df: DataFrame, scores: DataFrame, score: str, target: str, k: int = 20,
                   keys: tuple = ("user_id",)) -> DataFrame:
     """Keys, the k best columns (in table order) and the target. d scores reach the driver."""

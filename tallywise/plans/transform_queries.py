@@ -173,6 +173,27 @@ def mutual_info(spark, d):
     return rounded(scores.orderBy(F.desc("mi"), "feature").limit(20))
 
 
+def _digamma(n: str) -> str:
+    up = f"({n} + 8.0::double)"
+    steps = " - ".join(f"1 / ({n} + {i}.0::double)" for i in range(8))
+    return (f"(ln({up}) - 1 / (2 * {up}) - 1 / (12 * {up} ^ 2) + 1 / (120 * {up} ^ 4) - 1 / (252 * {up} ^ 6) - {steps})")
+
+
+@query("i10_neighbour_mutual_info", f"""with {LONG},
+own as (select *, count(*) over (partition by feature, label) as n from long),
+rows as (select * from own where n > 1 and feature in ('e0', 'e1', 'e2')),
+near as (select a.feature, a.vec_id, a.v, a.n, abs(a.v - b.v) as d, least(3, a.n - 1) as k,
+    row_number() over (partition by a.feature, a.vec_id order by abs(a.v - b.v)) as rn
+  from rows a join rows b on a.feature = b.feature and a.label = b.label and a.vec_id <> b.vec_id),
+kth as (select feature, vec_id, v, n, k, d from near where rn = k),
+counted as (select t.feature, t.vec_id, t.n, t.k, count(*) as m from kth t join rows o on o.feature = t.feature
+  and (abs(o.v - t.v) < t.d or (t.d = 0 and o.v = t.v)) group by all)
+select feature, round(greatest(0, {_digamma('count(*)')} + avg({_digamma('k')} - {_digamma('n')} - {_digamma('m')})), 6) as mi
+from counted group by feature""")
+def neighbour_info(spark, d):
+    return rounded(t.neighbour_information(embedding_columns(spark, d), "label", ["e0", "e1", "e2"]))
+
+
 @query("i11_pca_reduce", f"""with {LONG},
 m as (select feature, avg(v) as m from long group by feature)
 select vec_id, round(sqrt(sum((v - m) ^ 2)), 6) as length, true as keeps_enough, true as none_too_many, true as is_shorter
