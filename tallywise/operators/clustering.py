@@ -20,6 +20,7 @@ from ..functions.scalar import ratio_or_one
 from ..functions.vectors import euclidean, squared_distance
 from ..session import cut_lineage
 from .density import dbscan
+from .hierarchy import hdbscan
 from .neighbours import dbscan as grid_dbscan
 from .neighbours import sites
 from .pivots import choose_pivots, differences, distances, matrix, stacked, with_cell
@@ -369,8 +370,8 @@ def density_clusters(df: DataFrame, d: int, eps: float, min_samples: int) -> Dat
 
 
 def compare_methods(df: DataFrame, d: int, k: int = 5, eps: float = 0.5, min_samples: int = 5,
-                    restarts: int = 10) -> tuple[DataFrame, DataFrame, str]:
-    """Run all methods: (labels by method, metrics, best method).
+                    restarts: int = 10, hierarchy: bool = False) -> tuple[DataFrame, DataFrame, str]:
+    """Run all methods, on request also the density hierarchy: (labels by method, metrics, best method).
 
     Labels carry the distance to the centre and, for soft clusters, the probability. A method
     that Spark cannot run on the data has its error beside its name; faults of the program itself
@@ -379,6 +380,8 @@ def compare_methods(df: DataFrame, d: int, k: int = 5, eps: float = 0.5, min_sam
     runs = {"kmeans": lambda: kmeans(df, k, restarts), "hierarchical": lambda: ward(df, k),
             "gaussian_mixture": lambda: gaussian_mixture(df, k),
             "dbscan": lambda: density_clusters(df, d, eps, min_samples)}
+    if hierarchy:
+        runs["hdbscan"] = lambda: hdbscan(df, "id", min_samples=min_samples)
     labels, rows = None, []
     for method, run in runs.items():
         try:
