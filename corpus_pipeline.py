@@ -14,8 +14,8 @@ from tallywise.session import cut_lineage, release
 def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Keep documents in a language; `lang` becomes the predicted one. Texts without letters go."""
     model = language.fit(docs.where(~in_fold("doc_id", 3, 1)))
-    known = language.with_language(docs, model).withColumn("lang", F.col("language.lang_pred"))
-    return known.where(F.col("lang") != language.UNKNOWN).drop("language")
+    known = language.with_language(docs, model, "__language").withColumn("lang", F.col("__language.lang_pred"))
+    return known.where(F.col("lang") != language.UNKNOWN).drop("__language")
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -21,14 +21,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def with_row_key(docs: DataFrame) -> DataFrame:
-    """Add `text_key`, XXH64 of the text, so that rows repeating a doc_id with another text stay apart."""
-    return docs.withColumn("text_key", F.xxhash64("text"))
+    """Add `__text_key`, XXH64 of the text, so that rows repeating a doc_id with another text stay apart."""
+    return docs.withColumn("__text_key", F.xxhash64("text"))
 
 
 def on_row_key(left: str, right: str):
-    """Join condition on (doc_id, text_key) that also matches null ids."""
+    """Join condition on (doc_id, __text_key) that also matches null ids."""
     return (F.col(f"{left}.doc_id").eqNullSafe(F.col(f"{right}.doc_id"))
-            & (F.col(f"{left}.text_key") == F.col(f"{right}.text_key")))
+            & (F.col(f"{left}.__text_key") == F.col(f"{right}.__text_key")))
 
 
 def in_fold(id_column: str, folds: int, fold: int):

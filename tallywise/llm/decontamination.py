@@ -76,10 +76,10 @@ def seed_table(benchmark: DataFrame) -> DataFrame:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Verified overlaps: doc_id, text_key, item_id, start, end (tokens of the document), matched."""
+    """Verified overlaps: doc_id, __text_key, item_id, start, end (tokens of the document), matched."""
     seeds = cut_lineage(seed_table(benchmark))
     blocks = max(1, -(-seeds.count() // SEEDS_PER_BLOCK))
-    marked = _windows(_marks(with_row_key(docs)).select("doc_id", "text_key", "marks"))
+    marked = _windows(_marks(with_row_key(docs)).select("doc_id", "__text_key", "marks"))
     found = None
     for block in range(blocks):
         part = seeds.where(F.pmod("seed", F.lit(blocks)) == block)
@@ -87,12 +87,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         hits = marked.join(F.broadcast(part), "seed")
         same = F.array(*[F.when(F.get("marks", F.col("at") + (k - MARGIN)) == F.get("context", F.lit(k)),
                                 F.col("at") + (k - MARGIN)) for k in range(CONTEXT)])
-        rows = hits.select("doc_id", "text_key", "item_id", "item_tokens",
+        rows = hits.select("doc_id", "__text_key", "item_id", "item_tokens",
                            (F.col("at") - F.col("item_at")).alias("shift"),
                            F.explode(F.array_compact(same)).alias("token"))
         found = rows if found is None else found.union(rows)
     # A matched token counts once however many seeds reached it; bounded by the document's length.
-    line = ["doc_id", "text_key", "item_id", "item_tokens", "shift"]
+    line = ["doc_id", "__text_key", "item_id", "item_tokens", "shift"]
     along = Window.partitionBy(*line).orderBy("token")
     matched = found.groupBy(*line, "token").agg(F.lit(1).alias("one"))
     parted = matched.withColumn("new", F.when(
@@ -103,18 +103,18 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     length = F.col("end") - F.col("start")
     verified = runs.where((length >= F.least(F.lit(MIN_TOKENS), "item_tokens"))
                           & (F.col("matched") >= length * MIN_SHARE))
-    return verified.select("doc_id", "text_key", "item_id", "start", "end", "matched")
+    return verified.select("doc_id", "__text_key", "item_id", "start", "end", "matched")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, text_key, item_id, n_overlaps, longest, matched): documents that hold part of an item."""
-    return overlaps(docs, benchmark).groupBy("doc_id", "text_key", "item_id").agg(
+    """(doc_id, __text_key, item_id, n_overlaps, longest, matched): documents that hold part of an item."""
+    return overlaps(docs, benchmark).groupBy("doc_id", "__text_key", "item_id").agg(
         F.count("*").alias("n_overlaps"), F.max(F.col("end") - F.col("start")).cast("long").alias("longest"),
         F.sum("matched").alias("matched"))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """`docs` without the rows whose text overlaps a benchmark item."""
-    bad = contaminated(docs, benchmark).select("doc_id", "text_key").distinct()
+    bad = contaminated(docs, benchmark).select("doc_id", "__text_key").distinct()
     return (with_row_key(docs).alias("d").join(bad.alias("b"), on_row_key("d", "b"), "left_anti")
-            .drop("text_key"))
+            .drop("__text_key"))

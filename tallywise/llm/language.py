@@ -145,8 +145,8 @@ def _count(batches):
             ["lang", "bucket", "n"])
 
 
-def with_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """`docs` with `language`: a struct of lang_pred, score (its proportion) and langs (the set)."""
+def with_language(docs: DataFrame, model: LanguageModel, out: str = "language") -> DataFrame:
+    """`docs` with `out`, in place of a column of that name: a struct of lang_pred, score (its proportion) and langs (the set)."""
     spark: SparkSession = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.languages, model.log_prob))  # BUCKETS numbers per language
 
@@ -161,4 +161,4 @@ def with_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     # Not deterministic for the optimizer, which else repeats the inference for a filter on it.
     predicted = F.arrow_udf(predict, "struct<lang_pred:string,score:double,langs:array<string>>")
-    return docs.withColumn("language", predicted.asNondeterministic()("text"))
+    return docs.withColumn(out, predicted.asNondeterministic()("text"))

@@ -1,7 +1,7 @@
 """Line dedup by overlapping three-line windows.
 
 Every run of three consecutive lines (trimmed, at least one of them not blank) is hashed to 128
-bits. The first occurrence of a window, in the order of (doc_id, text_key, line), stays; the lines
+bits. The first occurrence of a window, in the order of (doc_id, __text_key, line), stays; the lines
 that later occurrences cover are merged and removed.
 
 Edge cases: null and empty texts and texts of fewer than three lines have no window and stay as
@@ -26,7 +26,7 @@ BLANKS = b" \t\r\x0b\x0c"
 
 
 def _windows(batches):
-    """(doc_id, text_key, line, high, low) for each window of each text."""
+    """(doc_id, __text_key, line, high, low) for each window of each text."""
     digest = xxhash.xxh3_128_digest
     for batch in slices(batches):
         ids, lines, high, low, keys = [], [], [], [], []
@@ -44,25 +44,25 @@ def _windows(batches):
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(lines, pa.int32()),
              pa.array(high, pa.int64()), pa.array(low, pa.int64())],
-            ["doc_id", "text_key", "line", "high", "low"])
+            ["doc_id", "__text_key", "line", "high", "low"])
 
 
 def later_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, covered): the sorted lines that later occurrences of windows cover.
+    """(doc_id, __text_key, covered): the sorted lines that later occurrences of windows cover.
 
     First places are minima, pre-aggregated before the shuffle; a window that a third of all texts
     share is one row there, and the join that finds its later occurrences can be split by AQE.
     """
-    windows = cut_lineage(with_row_key(docs).select("doc_id", "text_key", "text").mapInArrow(
-        _windows, "doc_id long, text_key long, line int, high long, low long"))
-    place = F.struct("doc_id", "text_key", "line")
+    windows = cut_lineage(with_row_key(docs).select("doc_id", "__text_key", "text").mapInArrow(
+        _windows, "doc_id long, __text_key long, line int, high long, low long"))
+    place = F.struct("doc_id", "__text_key", "line")
     repeated = (windows.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("n"))
                 .where("n > 1").drop("n"))
     later = windows.join(repeated, ["high", "low"]).where(place > F.col("first"))
-    lines = later.select("doc_id", "text_key", F.explode(
+    lines = later.select("doc_id", "__text_key", F.explode(
         F.sequence("line", F.col("line") + WINDOW - 1)).alias("line"))
     # Bounded by one text: a row holds at most as many numbers as its text has lines.
-    return lines.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set("line")).alias("covered"))
+    return lines.groupBy("doc_id", "__text_key").agg(F.sort_array(F.collect_set("line")).alias("covered"))
 
 
 def _without(texts: pa.Array, covered: pa.Array) -> pa.Array:

@@ -134,17 +134,17 @@ def rewrite_affected(docs: DataFrame, moves: DataFrame, folder: str) -> None:
     spark = docs.sparkSession
     changed = (moves.where("shard <> old_shard").select(F.explode(F.array("shard", "old_shard")).alias("shard"))
                .distinct())
-    keys = ["doc_id", "text_crc32", "old_shard"]
     old = (docs.drop("shard").withColumn("old_shard", F.coalesce("old_shard", F.lit(0)).cast("int"))
-           .withColumn("text_crc32", F.crc32(F.coalesce("text", F.lit("")))))
+           .withColumn("__crc32", F.crc32(F.coalesce("text", F.lit("")))))
     # Rows with equal keys are few unless a table repeats one document: those alone share a task.
-    old = old.withColumn("nth", F.row_number().over(Window.partitionBy(*keys).orderBy("text")))
-    nth = F.row_number().over(Window.partitionBy(*keys).orderBy("shard", "slot"))
-    to = moves.withColumn("nth", nth).join(F.broadcast(changed), "shard", "left_semi")
+    old = old.withColumn("__nth", F.row_number().over(
+        Window.partitionBy("doc_id", "__crc32", "old_shard").orderBy("text")))
+    nth = F.row_number().over(Window.partitionBy("doc_id", "text_crc32", "old_shard").orderBy("shard", "slot"))
+    to = moves.withColumn("__nth", nth).join(F.broadcast(changed), "shard", "left_semi")
     moved = old.alias("d").join(
         to.alias("t"), F.col("d.doc_id").eqNullSafe(F.col("t.doc_id"))
-        & (F.col("d.text_crc32") == F.col("t.text_crc32")) & (F.col("d.old_shard") == F.col("t.old_shard"))
-        & (F.col("d.nth") == F.col("t.nth"))).select(
+        & (F.col("d.__crc32") == F.col("t.text_crc32")) & (F.col("d.old_shard") == F.col("t.old_shard"))
+        & (F.col("d.__nth") == F.col("t.__nth"))).select(
         *[F.col(f"d.`{c}`") for c in docs.columns if c not in ("old_shard", "shard")], "t.shard")
     stored = cut_lineage(moved)
     emptied = [r.shard for r in changed.join(to.select("shard").distinct(), "shard", "left_anti").collect()]

@@ -193,33 +193,33 @@ def links(prints: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, fingerprint, component_id, keep_key) per row of `docs`.
+    """(doc_id, __text_key, fingerprint, component_id, keep_key) per row of `docs`.
 
-    `component_id` is the smallest doc_id reachable, `keep_key` the text_key of the row to keep.
+    `component_id` is the smallest doc_id reachable, `keep_key` the __text_key of the row to keep.
     """
-    prints = cut_lineage(fingerprints(with_row_key(docs)).select("doc_id", "text_key", "fingerprint"))
+    prints = cut_lineage(fingerprints(with_row_key(docs)).select("doc_id", "__text_key", "fingerprint"))
     return _named(prints, "fingerprint", links(prints))
 
 
 def _named(prints: DataFrame, node: str, edges: DataFrame) -> DataFrame:
     """`prints` with the component_id and keep_key of the group that `edges` put their `node` in."""
     groups = cut_lineage(prints.groupBy(node).agg(
-        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_key"))).alias("first"),
-        F.min("text_key").alias("any_key")))
+        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "__text_key"))).alias("first"),
+        F.min("__text_key").alias("any_key")))
     named = components(edges).withColumnRenamed("node", node)
     placed = groups.join(named, node, "left").withColumn("component", F.coalesce("component", node))
     heads = placed.groupBy("component").agg(F.min("first").alias("head"), F.min("any_key").alias("any_key"))
     # One row per node goes back to the documents; groups of any size are joined, not gathered.
     names = placed.select(node, "component").join(heads, "component").select(
         node, F.col("head.doc_id").alias("component_id"),
-        F.coalesce("head.text_key", "any_key").alias("keep_key"))
+        F.coalesce("head.__text_key", "any_key").alias("keep_key"))
     return prints.join(names, node)
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """`docs` with the first row of every component; of equal rows one stays."""
     keep = (near_duplicates(docs)
-            .where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("keep_key")))
-            .select("doc_id", "text_key").distinct())
+            .where(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("__text_key") == F.col("keep_key")))
+            .select("doc_id", "__text_key").distinct())
     joined = with_row_key(docs).alias("d").join(keep.alias("k"), on_row_key("d", "k"), "left_semi")
-    return joined.dropDuplicates(["doc_id", "text_key"]).drop("text_key")
+    return joined.dropDuplicates(["doc_id", "__text_key"]).drop("__text_key")

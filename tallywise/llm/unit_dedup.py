@@ -3,7 +3,7 @@
 A unit is a line of a text or a sentence in it, normalised to small letters and single spaces.
 Lines alone miss passages that stand within a line, so lines are parted at the blank behind a full
 stop, question or exclamation mark. Units of at least `MIN_UNIT_WORDS` words are hashed to 128 bits
-and grouped over all documents; the earliest occurrence by (doc_id, text_key, start) stays. Later
+and grouped over all documents; the earliest occurrence by (doc_id, __text_key, start) stays. Later
 ones are removed where they follow each other for `min_words` words or more; shorter units between
 two of them go along. Spans are code point offsets in the original text.
 
@@ -31,7 +31,7 @@ MIN_UNIT_WORDS = 4
 BLANKS = " \t\r\x0b\x0c"
 BLANK_RUN = re.compile(f"[{BLANKS}]+")
 SENTENCE_END = re.compile(r"([.!?])[ \t]")
-UNIT_TYPE = ("doc_id long, text_key long, unit int, start long, end long, n_words int, "
+UNIT_TYPE = ("doc_id long, __text_key long, unit int, start long, end long, n_words int, "
              "high long, low long")
 
 
@@ -56,23 +56,23 @@ def _units(batches):
         columns = list(zip(*rows)) if rows else [[]] * 8
         kinds = [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 2 + [pa.int32()] + [pa.int64()] * 2
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [
-            "doc_id", "text_key", "unit", "start", "end", "n_words", "high", "low"])
+            "doc_id", "__text_key", "unit", "start", "end", "n_words", "high", "low"])
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Each removed run: doc_id, text_key, start, end, n_units, n_words, first_doc_id, first_start.
+    """Each removed run: doc_id, __text_key, start, end, n_units, n_words, first_doc_id, first_start.
 
     The last two are the earliest place of the run's first unit. Ranks are minima pre-aggregated
     before the shuffle, so a passage that a third of the documents share is one row; the join that
     brings its earliest place back can be split by AQE.
     """
-    units = cut_lineage(with_row_key(docs).select("doc_id", "text_key", "text").mapInArrow(_units, UNIT_TYPE))
-    place = F.struct("doc_id", "text_key", "start")
+    units = cut_lineage(with_row_key(docs).select("doc_id", "__text_key", "text").mapInArrow(_units, UNIT_TYPE))
+    place = F.struct("doc_id", "__text_key", "start")
     groups = (units.groupBy("high", "low").agg(F.min(place).alias("first"), F.count("*").alias("n"))
               .where("n > 1").drop("n"))
     later = units.join(groups, ["high", "low"]).where(place > F.col("first")).drop("high", "low")
     # Units of one text, so no more rows than it has lines and sentences; rows equal in all count once.
-    text = ["doc_id", "text_key"]
+    text = ["doc_id", "__text_key"]
     runs = (later.distinct().withColumn("run", F.col("unit") - F.row_number().over(
         Window.partitionBy(*text).orderBy("unit")))
         .groupBy(*text, "run").agg(
@@ -98,7 +98,7 @@ def _cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """`docs` without the repeated units, and with the `removed` spans (null if none)."""
-    spans = (repeated_units(docs, min_words).groupBy("doc_id", "text_key")
+    spans = (repeated_units(docs, min_words).groupBy("doc_id", "__text_key")
              .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed")))
     marked = with_row_key(docs).alias("d").join(spans.alias("s"), on_row_key("d", "s"), "left")
     cut = F.arrow_udf(_cut, "string")
