@@ -32,8 +32,11 @@ CENTER_BLOCK = 512
 #: Widest vectors whose density clusters are looked up on a grid.
 GRID_DIMS = 3
 MAX_ITER = 300
-#: Rows that k-means starts from, and Lloyd steps on them; a model stops when no centre moves further than TOLERANCE.
-SAMPLE_ROWS, SAMPLE_STEPS, TOLERANCE = 8_192, 100, 1e-4
+#: Rows that k-means starts from, and Lloyd steps on them; a model stops when no centre moves further than TOLERANCE or
+#: a step lowers its cost by less than the share LEAST_GAIN.
+SAMPLE_ROWS, SAMPLE_STEPS, TOLERANCE, LEAST_GAIN = 32_768, 100, 1e-4, 1e-4
+#: Tasks that share the models of a fit while they start.
+MODEL_TASKS = 16
 ROWS_AT_ONCE = 4_096
 #: Features that Ward's hierarchy is built on.
 WARD_FEATURES = 2_000
@@ -59,18 +62,36 @@ def _seeded(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
 
 def _settled(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     """Lloyd steps on the sample."""
+    cost = np.inf
     for _ in range(SAMPLE_STEPS):
-        label = distances(x, centres).argmin(1)
+        gap = distances(x, centres)
+        label = gap.argmin(1)
         size = np.bincount(label, minlength=len(centres))
         sums = (label[:, None] == np.arange(len(centres))).T.astype(float) @ x
         new = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres)
+        before, cost = cost, (gap.min(1) ** 2).sum()
         moved = np.abs(new - centres).max()
         centres = new
-        if moved <= TOLERANCE:
+        if moved <= TOLERANCE or before - cost <= LEAST_GAIN * cost:
             break
     return centres
 
 
+def _started(df: DataFrame, sample: np.ndarray, ks: list[int], seed: int) -> list[np.ndarray]:
+    """Centres of every model after its steps on the sample, the models side by side."""
+    shared = df.sparkSession.sparkContext.broadcast(sample)  # about SAMPLE_ROWS vectors
+
+    def start(batches):
+        sample = shared.value
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                found = _settled(sample, _seeded(sample, ks[i], np.random.default_rng([seed, ks[i], i])))
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([found.ravel().tolist()])], ["i", "c"])
+    models = df.sparkSession.range(0, len(ks), 1, min(len(ks), MODEL_TASKS))
+    rows = {r["i"]: r["c"] for r in models.mapInArrow(start, "i long, c array<double>").collect()}  # a row per model
+    return [np.array(rows[i]).reshape(k, -1) for i, k in enumerate(ks)]
+
+
 def _step(data: DataFrame, models: list[np.ndarray], d: int) -> list[tuple[np.ndarray, np.ndarray, float]]:
     """(sizes, sums, cost) of every model's clusters, all by one scan that adds up where the rows lie."""
     stacked_centres = np.concatenate(models)
@@ -113,17 +134,17 @@ def fit_many(df: DataFrame, ks: list[int], seed: int = 42, max_iter: int = MAX_I
     drawn = df.where(F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) < int(share * (1 << 30)))
     rows = drawn.select("id", "vec").collect() or df.select("id", "vec").limit(1).collect()
     sample = stacked([r["vec"] for r in sorted(rows, key=lambda r: r["id"])])
-    centres = [_settled(sample, _seeded(sample, k, np.random.default_rng([seed, k, i]))) for i, k in enumerate(ks)]
-    cost, open_ = [0.0] * len(ks), list(range(len(ks)))
+    centres = _started(df, sample, ks, seed)
+    cost, open_ = [np.inf] * len(ks), list(range(len(ks)))
     data = df.select(F.col("vec").cast("array<double>")).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for _ in range(max_iter):
             found = _step(data, [centres[m] for m in open_], sample.shape[1])
             still = []
             for m, (size, sums, now) in zip(open_, found):
-                cost[m] = now
+                gained, cost[m] = cost[m] - now, now
                 new = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], centres[m])
-                if np.abs(new - centres[m]).max() > TOLERANCE:
+                if np.abs(new - centres[m]).max() > TOLERANCE and gained > LEAST_GAIN * now:
                     centres[m] = new
                     still.append(m)
             open_ = still
