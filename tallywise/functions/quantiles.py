@@ -1,9 +1,10 @@
-"""Exact quantiles per group that survive groups of any size.
+"""Exact quantiles that survive groups of any size.
 
-Groups up to `hot_rows` rows are sorted inside one aggregation buffer. A larger group, such as a
-whole column, never meets in one task: a mergeable sketch brackets each wanted rank, counts per bin
-narrow the bracket, and only the distinct values inside the last bin are ranked one by one. The
-brackets are broadcast, so rows are counted where they lie and only counts are shuffled.
+Groups by a key count their values where they lie, deal them out by ranges of group and value, and count them
+up range by range, so a key with a third of the rows is many tasks. Whole columns are not
+shuffled at all: a mergeable sketch brackets each wanted rank, counts per bin narrow the bracket, and only
+the distinct values inside the last bin are ranked one by one. The brackets are broadcast, so
+rows are counted where they lie and only counts are shuffled.
 """
 
 from __future__ import annotations
@@ -32,17 +33,6 @@ def _blend(lo: Column, hi: Column, w: Column) -> Column:
     return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * w)
 
 
-def _sorted_quantiles(df: DataFrame, keys: list[str], specs: dict) -> DataFrame:
-    g = df.groupBy(*keys).agg(F.array_sort(F.collect_list("_v")).alias("_a"))
-    n = F.size("_a").cast("bigint")
-    out = []
-    for name, (q, how) in specs.items():
-        lo, hi, w = _ranks(n, q, how)
-        at = lambda r: F.get(F.col("_a"), (r - F.lit(1)).cast("int"))
-        out.append(_blend(at(lo), at(hi), w).alias(name))
-    return g.select(*keys, *out)
-
-
 def _brackets(df: DataFrame, keys: list[str], specs: dict, accuracy: int) -> DataFrame:
     """A row per group and wanted rank (i, side): the values `lo` and `hi` that enclose it, and `r`."""
     eps = 2.0 / accuracy
@@ -70,8 +60,8 @@ def _brackets(df: DataFrame, keys: list[str], specs: dict, accuracy: int) -> Dat
 def _met(df: DataFrame, keys: list[str], probes: DataFrame) -> DataFrame:
     """Rows beside the probes of their group that they do not exceed.
 
-    The probes of a group travel as one array, by broadcast: groups are columns of a schema, or
-    more than `hot_rows` rows each, so there are few of them and the rows stay where they are.
+    The probes of a group travel as one array, by broadcast: groups are columns of a schema, so there
+    are few of them and the rows stay where they are.
     """
     state = probes.groupBy(*keys).agg(F.collect_list(F.struct(
         *[c for c in probes.columns if c not in keys])).alias("_p"))
@@ -114,25 +104,8 @@ def _bracketed_quantiles(df: DataFrame, keys: list[str], specs: dict, accuracy:
         _blend(at(i, 0), at(i, 1), weight(i)).alias(name) for i, name in enumerate(specs)])
 
 
-def group_quantiles(df: DataFrame, keys: list[str], value: str, specs: dict,
-                    hot_rows: int = 1_000_000, accuracy: int = 10_000) -> DataFrame:
-    """One row per group with the columns named in `specs`: name -> (q, 'nearest'|'linear').
-
-    'nearest' takes sorted row round((n-1)q)+1, 'linear' interpolates. Nulls do not count;
-    a group with only nulls yields no row. The plan is the same for every table: groups above
-    `hot_rows` are found when it runs, and an empty set of them ends that branch.
-    """
-    base = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    # Each hot group has more than hot_rows rows, which bounds their number.
-    hot = F.broadcast(base.groupBy(*keys).agg(F.count("*").alias("_n"))
-                      .where(F.col("_n") > F.lit(hot_rows)).select(*keys))
-    cold_part = _sorted_quantiles(base.join(hot, keys, "left_anti"), keys, specs)
-    hot_part = _bracketed_quantiles(base.join(hot, keys, "left_semi"), keys, specs, accuracy)
-    return cold_part.unionByName(hot_part)
-
-
 def weighted_quantiles(runs: DataFrame, keys: list[str], value: str, weight: str, specs: dict) -> DataFrame:
-    """As `group_quantiles`, of distinct values that occur `weight` times each.
+    """As `group_quantiles`, of values that occur `weight` times each.
 
     Values are dealt by ranges of key and value and counted up within a range, and the ranges of a key
     follow each other, so that a key of any size is as many tasks as its share of the values asks for.
@@ -146,8 +119,10 @@ def weighted_quantiles(runs: DataFrame, keys: list[str], value: str, weight: str
     before = parts.select(*keys, "_part", (F.sum("_c").over(upto) - F.col("_c")).alias("_before"),
                           F.sum("_c").over(whole).alias("_n"))
     inside = W.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
-    counted = ranged.withColumn("_upto", F.sum("_w").over(inside)).join(before, [*keys, "_part"]).withColumn(
-        "_upto", F.col("_upto") + F.col("_before"))
+    upto_here = ranged.withColumn("_upto", F.sum("_w").over(inside)).alias("r")
+    same = [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "_part"]]
+    counted = upto_here.join(before.alias("b"), same).select(
+        *[F.col(f"r.{k}").alias(k) for k in keys], "_v", "_w", "_n", (F.col("_upto") + F.col("_before")).alias("_upto"))
     at = lambda r: F.max(F.when((F.col("_upto") >= r) & (F.col("_upto") - F.col("_w") < r), F.col("_v")))
     ends = [_ranks(F.col("_n"), q, how) for q, how in specs.values()]
     found = counted.groupBy(*keys).agg(F.max("_n").alias("_n"), *[
@@ -156,6 +131,18 @@ def weighted_quantiles(runs: DataFrame, keys: list[str], value: str, weight: str
                                  for i, (name, (_, _, w)) in enumerate(zip(specs, ends))])
 
 
+def group_quantiles(df: DataFrame, keys: list[str], value: str, specs: dict) -> DataFrame:
+    """One row per group with the columns named in `specs`: name -> (q, 'nearest'|'linear').
+
+    'nearest' takes sorted row round((n-1)q)+1, 'linear' interpolates. Nulls do not count;
+    a group with only nulls yields no row. Equal values are added up before they are shuffled, and one plan
+    serves groups of any size; the rows are read once.
+    """
+    runs = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull()).groupBy(
+        *keys, "_v").agg(F.count("*").alias("_w"))
+    return weighted_quantiles(cut_lineage(runs), keys, "_v", "_w", specs)
+
+
 def column_quantiles(df: DataFrame, columns: list[str], specs: dict,
                      accuracy: int = 10_000) -> DataFrame:
     """Exact whole-table quantiles, one row per column: (feature, <names of specs>).

@@ -4,7 +4,7 @@ Two aggregates and one quantile pass over the transactions, all keyed by user:
 - numeric measures in one map-side combined aggregate;
 - categories and days as (user, kind, value) counts, so that distinct counts, modes and daily
   regularity share one scan and no user's rows have to meet in one task;
-- exact quantiles through `group_quantiles`, which splits hot users.
+- exact quantiles through `group_quantiles`, which deals out hot users by ranges of value.
 """
 
 from __future__ import annotations
@@ -104,11 +104,11 @@ def value_counts_by_user(tx: DataFrame, kinds: list[str]) -> DataFrame:
             .agg(F.count("*").alias("cnt")))
 
 
-def volume_features(tx: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def volume_features(tx: DataFrame) -> DataFrame:
     """Count, sum, mean, sample std, min, max and median of the amounts."""
     spec = {"median_transaction_amount": (0.5, LINEAR)}
     return (_by_user(tx, _VOLUME_AGGS)
-            .join(group_quantiles(tx, [USER], AMOUNT, spec, hot_rows), USER, "left")
+            .join(group_quantiles(tx, [USER], AMOUNT, spec), USER, "left")
             .select(USER, *VOLUME))
 
 
@@ -123,10 +123,10 @@ def geo_features(tx: DataFrame) -> DataFrame:
     return _by_user(value_counts_by_user(tx, ["city", "province"]), _GEO_AGGS).select(USER, *GEO)
 
 
-def amount_distribution_features(tx: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def amount_distribution_features(tx: DataFrame) -> DataFrame:
     """Nearest-rank quartiles, their range, population skewness."""
     spec = {k: v for k, v in _QUANTILES.items() if k != "median_transaction_amount"}
-    q = group_quantiles(tx, [USER], AMOUNT, spec, hot_rows)
+    q = group_quantiles(tx, [USER], AMOUNT, spec)
     return (_by_user(tx, _SKEWNESS).join(q, USER, "left")
             .withColumn("amount_iqr", F.col("amount_percentile_75") - F.col("amount_percentile_25"))
             .select(USER, *AMOUNT_DISTRIBUTION))
@@ -146,12 +146,12 @@ def with_defaults(df: DataFrame) -> DataFrame:
                        if name in df.columns and name not in ("age", "birth_year")})
 
 
-def user_features(users: DataFrame, tx: DataFrame, hot_rows: int = 1_000_000) -> DataFrame:
+def user_features(users: DataFrame, tx: DataFrame) -> DataFrame:
     """user_id plus 26 features for every user, defaults where there are no transactions."""
     measures = _by_user(tx, _VOLUME_AGGS, _HOUR_AGGS, _SKEWNESS)
     kinds = ["transaction_date", "city", "province", "card_type", "device_type"]
     counts = _by_user(value_counts_by_user(tx, kinds), _FREQUENCY, _GEO_AGGS, _BEHAVIORAL_AGGS)
-    quantiles = group_quantiles(tx, [USER], AMOUNT, _QUANTILES, hot_rows)
+    quantiles = group_quantiles(tx, [USER], AMOUNT, _QUANTILES)
     joined = (users.select(USER, "age", "birth_year")
               .join(measures, USER, "left").join(counts, USER, "left")
               .join(quantiles, USER, "left")

@@ -1,4 +1,4 @@
-"""Exact quantiles on both paths, for any sizes and repeated values."""
+"""Exact quantiles of groups and columns, for any sizes and repeated values."""
 
 import numpy as np
 import pandas as pd
@@ -18,8 +18,8 @@ def expected(values):
             for q, how in SPECS.values()]
 
 
-def check(df, values_by_group, **kw):
-    rows = {r["g"]: r for r in group_quantiles(df, ["g"], "x", SPECS, **kw).collect()}
+def check(df, values_by_group):
+    rows = {r["g"]: r for r in group_quantiles(df, ["g"], "x", SPECS).collect()}
     assert set(rows) == set(values_by_group)
     for g, values in values_by_group.items():
         np.testing.assert_allclose([rows[g][n] for n in SPECS], expected(values), rtol=1e-12, atol=1e-12)
@@ -32,15 +32,28 @@ def test_any_groups(spark, groups):
     data = {i: g for i, g in enumerate(groups)}
     df = spark.createDataFrame([(i, float(x)) for i, g in data.items() for x in g], "g int, x double")
     check(df, data)
-    check(df, data, hot_rows=3)
 
 
-@pytest.mark.parametrize("accuracy", [50, 500])
-def test_large_group_within_brackets(spark, accuracy):
+@pytest.mark.parametrize("parts", [1, 9])
+def test_a_large_group_is_many_ranges(spark, parts):
     rng = np.random.default_rng(0)
     data = {0: np.concatenate([rng.lognormal(4, 2, 9000), np.full(4000, 7.0)]), 1: rng.normal(size=300)}
     frame = pd.concat([pd.DataFrame({"g": g, "x": v}) for g, v in data.items()])
-    check(spark.createDataFrame(frame).repartition(5), data, hot_rows=100, accuracy=accuracy)
+    check(spark.createDataFrame(frame).repartition(parts), data)
+
+
+@pytest.mark.parametrize("accuracy", [50, 500])
+def test_columns_within_brackets(spark, accuracy):
+    rng = np.random.default_rng(0)
+    x = np.concatenate([rng.lognormal(4, 2, 9000), np.full(4000, 7.0)])
+    got = column_quantiles(spark.createDataFrame(pd.DataFrame({"x": x})).repartition(5), ["x"], SPECS, accuracy).first()
+    np.testing.assert_allclose([got[n] for n in SPECS], expected(x), rtol=1e-12, atol=1e-12)
+
+
+def test_null_groups_are_groups(spark):
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), (1, 2.0), (2, None)], "g int, x double")
+    got = {r["g"]: r["l50"] for r in group_quantiles(df, ["g"], "x", SPECS).collect()}
+    assert got == {None: 2.0, 1: 2.0}
 
 
 def test_nulls_do_not_count(spark):
