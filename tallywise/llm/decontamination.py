@@ -19,8 +19,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallywise.session import cut_lineage
-
 from .common import on_row_key, with_row_key
 
 SPAN = 10
@@ -77,7 +75,9 @@ def seed_table(benchmark: DataFrame) -> DataFrame:
 
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Verified overlaps: doc_id, __text_key, item_id, start, end (tokens of the document), matched."""
-    seeds = cut_lineage(seed_table(benchmark))
+    # Made anew for each block, which costs little beside the block's pass over the documents. Stored, it
+    # would stay behind, since the result is not read yet, and on local disks each file starts a process.
+    seeds = seed_table(benchmark)
     blocks = max(1, -(-seeds.count() // SEEDS_PER_BLOCK))
     marked = _windows(_marks(with_row_key(docs)).select("doc_id", "__text_key", "marks"))
     found = None

@@ -2,10 +2,12 @@
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 
 from tallywise.llm import decontamination as D
+from tallywise.session import shared_dir
 
 WORDS = [f"w{k}x" for k in range(400)]
 
@@ -71,6 +73,15 @@ def test_several_blocks_give_the_same(spark, planted, monkeypatch):
     assert sorted(map(tuple, D.contaminated(*frames).collect())) == sorted(map(tuple, once))
 
 
+def test_leaves_no_tables_behind(spark, planted):
+    docs, items = planted
+    stored = lambda: sorted(Path(shared_dir(spark)).rglob("*.parquet"))
+    before = stored()
+    found = D.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                           spark.createDataFrame(items, "item_id long, text string"))
+    assert found.count() and stored() == before
+
+
 def test_edges(spark):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
     rows = [(1, item, "x"), (1, "other text", "x"), (None, item, "x"), (2, None, None), (3, "", "x"),
